@@ -23,31 +23,33 @@ def expand_records(
     nulls. ``known_reason`` names a column that already rules out a row (say, a broken document);
     its payload is not parsed.
 
-    One parse, no shuffle. Reason and text are settled before the explode, so the parsed array is
-    not copied onto every row it produces, and both are null on good rows.
+    One parse, no shuffle. Reason and text are settled before the explode, so neither the parsed
+    array nor a good payload's text is copied onto the rows it produces.
     """
     rest = [c for c in df.columns if c not in (payload, known_reason)]
     known = F.col(known_reason) if known_reason else F.lit(None).cast("string")
-    text = F.col(payload)
-    parsed = df.select(
-        *rest, text, known.alias("known"), parse_payload(F.when(known.isNull(), text), record).alias("parsed")
-    ).withColumn(REASON, F.coalesce("known", reject_reason(text, F.col("parsed"))))
-    return parsed.select(
-        *rest,
-        REASON,
-        F.when(F.col(REASON).isNotNull(), text).alias(REJECTED_TEXT),
-        F.posexplode_outer("parsed").alias(POSITION, "record"),
-    ).select(*rest, "record.*", POSITION, REASON, REJECTED_TEXT)
+    text, parsed = F.col(payload), F.col("parsed")
+    return (
+        df.select(*rest, text, known.alias("known"), parse_payload(F.when(known.isNull(), text), record).alias("parsed"))
+        .select(*rest, text, F.coalesce("known", reject_reason(text, parsed)).alias(REASON), parsed)
+        .select(*rest, REASON, F.when(F.col(REASON).isNotNull(), text).alias(REJECTED_TEXT), parsed)
+        .select(*rest, REASON, REJECTED_TEXT, F.posexplode_outer(parsed).alias(POSITION, "record"))
+        .select(*rest, "record.*", POSITION, REASON, REJECTED_TEXT)
+    )
+
+
+# Both sides are told apart by the position, which exists only after the explode. A filter on the
+# reason would be pushed below it and parse every payload again to find the reason.
 
 
 def accepted(expanded: DataFrame) -> DataFrame:
     """The record rows of an expanded frame."""
-    return expanded.where(F.col(REASON).isNull()).drop(REASON, REJECTED_TEXT, POSITION)
+    return expanded.where(F.col(POSITION).isNotNull()).drop(REASON, REJECTED_TEXT, POSITION)
 
 
 def rejected(expanded: DataFrame, *keys: str) -> DataFrame:
     """The set-aside payloads of an expanded frame: keys, reason and whole text."""
-    return expanded.where(F.col(REASON).isNotNull()).select(*keys, REASON, REJECTED_TEXT)
+    return expanded.where(F.col(POSITION).isNull()).select(*keys, REASON, REJECTED_TEXT)
 
 
 def transpose(df: DataFrame, parsed: str, fields: Sequence[str]) -> DataFrame:

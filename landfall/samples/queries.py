@@ -12,7 +12,7 @@ from landfall.functions.audit import stamp
 from landfall.functions.names import batch_identity, file_name, name_token, target_name
 from landfall.functions.payload import parse_payload, string_record
 from landfall.operators.columns import strip_prefix
-from landfall.operators.expand import REASON, REJECTED_TEXT, accepted, expand_records, transpose, zip_explode
+from landfall.operators.expand import POSITION, accepted, expand_records, transpose, zip_explode
 from landfall.plans.batch import expand, load_batch, scan
 from landfall.plans.loads import KEEP, PAYLOAD, ROW_TAG, loads_spec
 from landfall.samples.landing import load_records, write_landing
@@ -242,7 +242,7 @@ def expand_null_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = two_record_payload(F.struct(F.col("l_partkey").alias("id")), second)
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", payload.alias("payload"))
     expanded = expand_records(lines, "payload", string_record(["id"]))
-    return expanded.where(F.col(REASON).isNull()).select("l_orderkey", "id", "record_position")
+    return expanded.where(F.col(POSITION).isNotNull()).select("l_orderkey", "id", POSITION)
 
 
 @query(
