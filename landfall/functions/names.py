@@ -32,14 +32,18 @@ def batch_tokens(path: Column | str) -> tuple[Column, Column]:
     return name_token(name, DATE_POSITION).alias("date_token"), hour.alias("hour_token")
 
 
-def batch_identity(df: DataFrame, path: str = "SourceFileName") -> DataFrame:
-    """One row with the latest (date, hour) of a batch; both null when no file name carries them.
+def latest_identity(path: Column | str) -> Column:
+    """Aggregate: the latest (date, hour) pair; null when no file name carries both.
 
     A single maximum over the pair, so date and hour always come from the same file.
     """
     date, hour = batch_tokens(path)
-    pair = F.when(date.isNotNull() & hour.isNotNull(), F.struct(date, hour))
-    return df.agg(F.max(pair).alias("latest")).select("latest.date_token", "latest.hour_token")
+    return F.max(F.when(date.isNotNull() & hour.isNotNull(), F.struct(date, hour)))
+
+
+def batch_identity(df: DataFrame, path: str = "SourceFileName") -> DataFrame:
+    """One row with a batch's latest (date, hour)."""
+    return df.agg(latest_identity(path).alias("latest")).select("latest.date_token", "latest.hour_token")
 
 
 def target_name(entity: str, date: Column, hour: Column) -> Column:

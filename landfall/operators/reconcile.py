@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from landfall.functions.payload import BAD_FILE_NAME
@@ -34,28 +36,39 @@ def reconcile(listing: DataFrame, counts: DataFrame, bronze: DataFrame, rejects:
     read back from the written tables; only these may be deleted. ``bad_file_name`` and
     ``no_records`` were not loaded. ``mismatch`` means that a table does not hold what was read.
     """
-    in_bronze = bronze.groupBy("SourceFileName").agg(F.count("*").alias("in_bronze"))
-    in_rejects = rejects.groupBy("SourceFileName").agg(F.count("*").alias("in_rejects"))
-    zero = F.lit(0).cast("bigint")
-    complete = (F.col("records") == F.coalesce("in_bronze", zero)) & (
-        F.col("rejects") == F.coalesce("in_rejects", zero)
+    facts = [
+        listing.select("SourceFileName", F.lit(True).alias("landed")),
+        counts.withColumn("landed", F.lit(True)),
+        bronze.select("SourceFileName", F.lit(1).alias("in_bronze")),
+        rejects.select("SourceFileName", F.lit(1).alias("in_rejects")),
+    ]
+    # One grouping over all facts, with partial sums, instead of a join per table.
+    files = (
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts)
+        .groupBy("SourceFileName")
+        .agg(
+            F.max("landed").alias("landed"),
+            F.max("SourceFileTime").alias("SourceFileTime"),
+            F.sum("records").alias("records"),
+            F.sum("rejects").alias("rejects"),
+            F.sum("bad_names").alias("bad_names"),
+            F.count("in_bronze").alias("in_bronze"),
+            F.count("in_rejects").alias("in_rejects"),
+        )
+        .where("landed")
     )
+    complete = (F.col("records") == F.col("in_bronze")) & (F.col("rejects") == F.col("in_rejects"))
     disposition = (
         F.when(F.col("records").isNull(), NO_RECORDS)
         .when(~complete, MISMATCH)
         .when(F.col("bad_names") > 0, BAD_FILE_NAME)
         .otherwise(LOADED)
     )
-    return (
-        listing.select("SourceFileName")
-        .join(counts, "SourceFileName", "full_outer")
-        .join(in_bronze, "SourceFileName", "left")
-        .join(in_rejects, "SourceFileName", "left")
-        .select(
-            "SourceFileName",
-            "SourceFileTime",
-            F.coalesce("records", zero).alias("records"),
-            F.coalesce("rejects", zero).alias("rejects"),
-            disposition.alias("disposition"),
-        )
+    zero = F.lit(0).cast("bigint")
+    return files.select(
+        "SourceFileName",
+        "SourceFileTime",
+        F.coalesce("records", zero).alias("records"),
+        F.coalesce("rejects", zero).alias("rejects"),
+        disposition.alias("disposition"),
     )

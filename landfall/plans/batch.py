@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from landfall.functions.audit import stamp
-from landfall.functions.names import batch_identity, batch_tokens, target_name
+from landfall.functions.names import batch_tokens, latest_identity, target_name
 from landfall.functions.payload import BAD_FILE_NAME, CORRUPT_XML
 from landfall.operators.expand import accepted, expand_records, rejected
 from landfall.operators.reconcile import MISMATCH, file_counts, reconcile
@@ -87,12 +86,13 @@ def load_frame(
     totals = counts.agg(
         F.coalesce(F.sum("records"), F.lit(0)).alias("records"),
         F.coalesce(F.sum("rejects"), F.lit(0)).alias("rejects"),
-    ).first()
-    date, hour = F.col("date_token"), F.concat("hour_token", F.lit(suffix))
-    latest = batch_identity(counts)
-    name = latest.where(date.isNotNull()).select(target_name(spec.entity, date, hour)).first()
-    path = f"{spec.target.rstrip('/')}/{name[0]}" if name else ""
-    rejects_path = f"{spec.rejects_path}/{name[0] if name else UNNAMED + suffix}" if totals.rejects else ""
+        latest_identity("SourceFileName").alias("latest"),
+    )
+    date, hour = F.col("latest.date_token"), F.concat("latest.hour_token", F.lit(suffix))
+    name = F.when(F.col("latest").isNotNull(), target_name(spec.entity, date, hour))
+    totals = totals.select("records", "rejects", name.alias("name")).first()
+    path = f"{spec.target.rstrip('/')}/{totals.name}" if totals.name else ""
+    rejects_path = f"{spec.rejects_path}/{totals.name or UNNAMED + suffix}" if totals.rejects else ""
 
     if spec.mode == "overwrite":
         for written in filter(None, (path, rejects_path)):
@@ -105,7 +105,7 @@ def load_frame(
             spec.fmt,
             spec.mode,
             spec.compression,
-            merge_to=math.ceil(totals.records / spec.rows_per_file) or 1,
+            merge_to=1 if totals.records <= spec.single_file_rows else None,
         )
     if rejects_path:
         write_layer(rejected(staged, "SourceFileName"), rejects_path, mode=spec.mode)

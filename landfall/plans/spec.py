@@ -11,7 +11,11 @@ from landfall.functions.payload import string_record
 
 @dataclass(frozen=True)
 class LoadSpec:
-    """One endpoint's landing folder, its record layout, and where its bronze tables go."""
+    """One endpoint's landing folder, its record layout, and where its bronze tables go.
+
+    A batch of up to ``single_file_rows`` rows becomes one bronze file. A larger one gets a file
+    per scan task, so its write is as parallel as its read and files are about as large as a split.
+    """
 
     landing: str
     row_tag: str
@@ -25,7 +29,7 @@ class LoadSpec:
     fmt: str = "parquet"
     mode: str = "overwrite"
     compression: str = "snappy"
-    rows_per_file: int = 1_000_000
+    single_file_rows: int = 100_000
     splittable: bool = True
 
     @property
