@@ -20,3 +20,9 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme, so every reader and writer means the same file system."""
     hadoop_path, file_system = _resolve(spark, path)
     return file_system.makeQualified(hadoop_path).toString()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote itself."""
+    hadoop_path, file_system = _resolve(spark, path)
+    file_system.delete(hadoop_path, True)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession, functions as F
 
 from landfall.functions.audit import stamp
 from landfall.functions.names import batch_tokens, latest_identity, target_name
 from landfall.functions.payload import BAD_FILE_NAME, CORRUPT_XML
 from landfall.operators.expand import accepted, expand_records, rejected
 from landfall.operators.reconcile import MISMATCH, file_counts, reconcile
-from landfall.paths import exists
+from landfall.paths import exists, remove
 from landfall.plans.spec import LoadSpec
 from landfall.session import work_folder
 from landfall.sinks.cleanup import DELETED, delete_loaded
@@ -35,7 +35,7 @@ class LoadMismatch(RuntimeError):
 class LoadResult:
     """What a load did. ``path`` is empty when there was nothing to load.
 
-    ``files`` has one row per landed file: its counts, disposition and clean-up outcome.
+    ``files`` has one row per landed file that was read: its counts, disposition and clean-up outcome.
     """
 
     status: int
@@ -50,6 +50,7 @@ class LoadResult:
 def scan(spark: SparkSession, spec: LoadSpec, stream: bool = False, **options: str) -> DataFrame:
     """The landed payloads with their source file and, for broken elements, the element's text."""
     schema = f"`{spec.payload}` string, {CORRUPT} string"
+    options = {**spec.read_options, **options}
     return read_xml(
         spark, spec.landing, spec.row_tag, schema, splittable=spec.splittable, stream=stream, **options
     )
@@ -95,11 +96,13 @@ def load_frame(
     rejects_path = f"{spec.rejects_path}/{totals.name or UNNAMED + suffix}" if totals.rejects else ""
 
     if spec.mode == "overwrite":
-        for written in filter(None, (path, rejects_path)):
-            _refuse_to_drop(written, spec.fmt if written == path else "parquet", counts)
+        if path:
+            _refuse_to_drop(path, read_bronze(spark, spec), counts)
+        if rejects_path:
+            _refuse_to_drop(rejects_path, spark.read.format("parquet"), counts)
     if path:
         bronze = accepted(staged).select(*spec.columns, "SourceFileName")
-        write_layer(
+        written = write_layer(
             stamp(bronze, spec.source_name, totals.records, run_ts),
             path,
             spec.fmt,
@@ -107,34 +110,43 @@ def load_frame(
             spec.compression,
             merge_to=1 if totals.records <= spec.single_file_rows else None,
         )
+        if written.rows != totals.records and spec.mode != "ignore":
+            raise LoadMismatch(f"{written.rows} of {totals.records} rows were written to {path}")
     if rejects_path:
         write_layer(rejected(staged, "SourceFileName"), rejects_path, mode=spec.mode)
     return totals, path, rejects_path
 
 
 def load_batch(
-    spark: SparkSession, spec: LoadSpec, run_ts: datetime | None = None, clean: bool = False
+    spark: SparkSession,
+    spec: LoadSpec,
+    run_ts: datetime | None = None,
+    clean: bool = False,
+    report_unread: bool = False,
 ) -> LoadResult:
     """Load everything landed now; with ``clean``, then delete the files proven to be loaded.
 
     Errors propagate and leave landing untouched. Files that arrive during the run are neither
-    loaded nor deleted.
+    loaded nor deleted, and a file that holds no row element is never deleted. ``report_unread``
+    adds the latter to the result as ``no_records``; it costs a second listing of landing and, as
+    Spark scans files, a task for every few of them.
     """
     work = work_folder(spark, "load")
-    listing = list_files(spark, spec.landing)
+    listing = list_files(spark, spec.landing, **spec.read_options) if report_unread else None
     totals, path, rejects_path = load_frame(scan(spark, spec), spec, work, run_ts)
 
     counts = spark.read.parquet(f"{work}/counts")
     nothing = counts.select("SourceFileName").where(F.lit(False))
     write_layer(
         reconcile(
-            listing,
+            nothing if listing is None else listing,
             counts,
-            spark.read.format(spec.fmt).load(path).select("SourceFileName") if path else nothing,
-            spark.read.parquet(rejects_path).select("SourceFileName") if rejects_path else nothing,
+            read_bronze(spark, spec).load(path) if path else nothing,
+            spark.read.parquet(rejects_path) if rejects_path else nothing,
         ),
         f"{work}/dispositions",
     )
+    remove(spark, f"{work}/staged")
     files = spark.read.parquet(f"{work}/dispositions")
     wrong = files.where(F.col("disposition") == MISMATCH).count()
     if wrong:
@@ -146,12 +158,16 @@ def load_batch(
     return LoadResult(0, totals.records, totals.rejects, path, rejects_path, deleted, files)
 
 
-def _refuse_to_drop(path: str, fmt: str, counts: DataFrame) -> None:
+def read_bronze(spark: SparkSession, spec: LoadSpec) -> DataFrameReader:
+    """A reader for the spec's bronze tables."""
+    return spark.read.format(spec.fmt).schema(spec.bronze_schema)
+
+
+def _refuse_to_drop(path: str, reader: DataFrameReader, counts: DataFrame) -> None:
     """A batch may overwrite its own earlier run, not rows whose landed files are already gone."""
-    spark = counts.sparkSession
-    if not exists(spark, path):
+    if not exists(counts.sparkSession, path):
         return
-    existing = spark.read.format(fmt).load(path).select("SourceFileName").distinct()
+    existing = reader.load(path).select("SourceFileName").distinct()
     others = existing.join(counts, "SourceFileName", "left_anti").count()
     if others:
         raise TargetConflict(f"{path} holds rows of {others} files outside this batch; load with mode='append'")

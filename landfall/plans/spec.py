@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -15,6 +16,7 @@ class LoadSpec:
 
     A batch of up to ``single_file_rows`` rows becomes one bronze file. A larger one gets a file
     per scan task, so its write is as parallel as its read and files are about as large as a split.
+    ``read_options`` go to the scan and the listing: ``pathGlobFilter``, ``recursiveFileLookup``, ...
     """
 
     landing: str
@@ -31,6 +33,7 @@ class LoadSpec:
     compression: str = "snappy"
     single_file_rows: int = 100_000
     splittable: bool = True
+    read_options: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def record(self) -> T.StructType:
@@ -41,6 +44,12 @@ class LoadSpec:
     def columns(self) -> tuple[str, ...]:
         return self.keep or self.fields
 
+    @property
+    def bronze_schema(self) -> T.StructType:
+        """The bronze table's columns; declared on reading back, as not every format keeps them."""
+        schema = string_record([*self.columns, "SourceFileName", "NumRows", "ProcessedDate"])
+        return schema.add("ProcessedTime", T.TimestampType()).add("SourceName", T.StringType())
+
     @property
     def rejects_path(self) -> str:
         return self.rejects or f"{self.target.rstrip('/')}_rejects"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping
 from urllib.parse import unquote, urlsplit
 
@@ -15,6 +16,7 @@ CHANGED = "changed"
 DELETED = "deleted"
 GONE = "already_gone"
 KEPT = "kept"
+FILES_PER_TASK = 1000
 S3_SCHEMES = ("s3", "s3a", "s3n")
 
 
@@ -84,7 +86,8 @@ def delete_loaded(spark: SparkSession, dispositions: DataFrame, log_path: str) -
     loaded = dispositions.where(F.col("disposition") == LOADED).select(
         "SourceFileName", F.unix_millis("SourceFileTime").alias("loaded_ms")
     )
-    deletions = loaded.mapInPandas(_deleter(store_options(conf)), "SourceFileName string, outcome string")
+    tasks = math.ceil(loaded.count() / FILES_PER_TASK) or 1
+    deletions = loaded.repartition(tasks).mapInPandas(_deleter(store_options(conf)), "SourceFileName string, outcome string")
     deletions.write.mode("overwrite").parquet(log_path)
     return dispositions.join(spark.read.parquet(log_path), "SourceFileName", "left").withColumn(
         "outcome", F.coalesce("outcome", F.lit(KEPT))

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
+from landfall.paths import remove
 from landfall.plans.batch import load_frame, scan
 from landfall.plans.spec import LoadSpec
 from landfall.session import work_folder
@@ -33,6 +34,7 @@ def load_stream(
     def load(batch: DataFrame, number: int) -> None:
         work = work_folder(batch.sparkSession, f"stream-{number}")
         load_frame(batch, spec, work, run_ts, suffix=f"-{number:010d}")
+        remove(batch.sparkSession, f"{work}/staged")
 
     return (
         scan(spark, spec, stream=True, **options)

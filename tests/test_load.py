@@ -6,7 +6,7 @@ from conftest import put, response, rows
 from pyspark.sql import functions as F
 
 import landfall.plans.batch as batch
-from landfall.plans.batch import LoadMismatch, TargetConflict, load_batch
+from landfall.plans.batch import LoadMismatch, TargetConflict, load_batch, read_bronze
 from landfall.plans.loads import FIELDS, KEEP, loads_spec
 from landfall.sinks.cleanup import delete_loaded
 from landfall.sinks.layer import write_layer
@@ -50,6 +50,33 @@ def test_bronze_layout(spark, spec):
     assert len(bronze.inputFiles()) == 1
 
 
+@pytest.mark.parametrize("fmt, compression", [("orc", "snappy"), ("json", "gzip"), ("csv", "gzip")])
+def test_other_formats(spark, spec, fmt, compression):
+    put(spec.landing, "a_b_d_h.xml", response(GOOD))
+    other = spec.but(fmt=fmt, compression=compression)
+    load_batch(spark, other, RUN_TS)
+    result = load_batch(spark, other, RUN_TS, clean=True)
+    assert result.deleted == 1
+    got = read_bronze(spark, other).load(result.path)
+    assert rows(got, "t10_id", "t06_placa", "NumRows") == [("1", "A", "2"), ("2", None, "2")]
+
+
+def test_read_options(spark, spec):
+    put(spec.landing, "a_b_d_h.xml", response(GOOD))
+    put(spec.landing, "a_b_d_h.txt", response(GOOD))
+    put(f"{spec.landing}/more", "a_c_d_h.xml", response(GOOD))
+    options = {"pathGlobFilter": "*.xml", "recursiveFileLookup": "true"}
+    result = load_batch(spark, spec.but(read_options=options), RUN_TS)
+    assert outcomes(result) == {"a_b_d_h.xml": "loaded", "a_c_d_h.xml": "loaded"}
+
+
+def test_staged_copy_is_removed(spark, spec, folder, monkeypatch):
+    monkeypatch.setattr(batch, "work_folder", lambda spark, label: f"{folder}/work")
+    put(spec.landing, "a_b_d_h.xml", response(GOOD))
+    load_batch(spark, spec, RUN_TS)
+    assert sorted(os.listdir(f"{folder}/work")) == ["counts", "dispositions"]
+
+
 def test_all_fields(spark, spec):
     put(spec.landing, "a_b_d_h.xml", response(GOOD))
     assert len(FIELDS) == len(set(FIELDS)) == 69
@@ -84,7 +111,7 @@ def test_clean_up(spark, spec):
     put(spec.landing, "c d_e_d_h.xml", response(GOOD, "[]"))
     put(spec.landing, "none_x_d_h.xml", "<e></e>")
     put(spec.landing, "plain.xml", response(GOOD))
-    result = load_batch(spark, spec, RUN_TS, clean=True)
+    result = load_batch(spark, spec, RUN_TS, clean=True, report_unread=True)
     assert result.deleted == 2
     assert landed(spec) == ["none_x_d_h.xml", "plain.xml"]
     assert outcomes(result, "outcome") == {
