@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from landfall.plans.loads import FIELDS, PAYLOAD, ROW_TAG
-from landfall.sinks.cleanup import open_store, path_in_store
+from landfall.sinks.cleanup import open_store, path_in_store, session_store_options
 
 HEAD = (
     '<?xml version="1.0" encoding="UTF-8"?>\n<env:Envelope xmlns:env="http://e" xmlns:ns1="urn:x" '
@@ -32,6 +32,7 @@ def write_landing(
     Without an ``hour_token`` the name ends after the date. Returns the number of files.
     A retried task writes the same names with the same content.
     """
+    s3 = session_store_options(records.sparkSession)
     tokens = [c for c in ("date_token", "hour_token") if c in records.columns]
 
     def document(payloads: list[list[str]]) -> str:
@@ -44,7 +45,7 @@ def write_landing(
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = urlsplit(folder)
-        store, root = open_store(parts.scheme, parts.netloc, {}), path_in_store(folder)
+        store, root = open_store(parts.scheme, parts.netloc, s3), path_in_store(folder)
         store.create_dir(root, recursive=True)
         share, files = TaskContext.get().partitionId(), 0
         for batch in batches:

@@ -17,24 +17,30 @@ DELETED = "deleted"
 GONE = "already_gone"
 KEPT = "kept"
 FILES_PER_TASK = 1000
+S3A = "spark.hadoop.fs.s3a"
 S3_SCHEMES = ("s3", "s3a", "s3n")
 
 
 def store_options(conf: Mapping[str, str | None]) -> dict:
     """The pyarrow spelling of ``fs.s3a`` settings; only those that are set."""
-    prefix = "spark.hadoop.fs.s3a."
-    endpoint = conf.get(prefix + "endpoint")
-    ssl = conf.get(prefix + "connection.ssl.enabled") or "true"
+    endpoint = conf.get(f"{S3A}.endpoint")
+    ssl = conf.get(f"{S3A}.connection.ssl.enabled") or "true"
     options = {
-        "access_key": conf.get(prefix + "access.key"),
-        "secret_key": conf.get(prefix + "secret.key"),
+        "access_key": conf.get(f"{S3A}.access.key"),
+        "secret_key": conf.get(f"{S3A}.secret.key"),
         "endpoint_override": endpoint.split("://")[-1] if endpoint else None,
         "scheme": "https" if ssl == "true" else "http",
-        "region": conf.get(prefix + "endpoint.region") or ("us-east-1" if endpoint else None),
+        "region": conf.get(f"{S3A}.endpoint.region") or ("us-east-1" if endpoint else None),
     }
     return {k: v for k, v in options.items() if v}
 
 
+def session_store_options(spark: SparkSession) -> dict:
+    """The same, from a session."""
+    names = ["endpoint", "access.key", "secret.key", "connection.ssl.enabled", "endpoint.region"]
+    return store_options({f"{S3A}.{n}": spark.conf.get(f"{S3A}.{n}", None) for n in names})
+
+
 def open_store(scheme: str, host: str, s3: dict) -> fs.FileSystem:
     """The file system behind a path's scheme and host."""
     if scheme in S3_SCHEMES:
@@ -81,13 +87,12 @@ def delete_loaded(spark: SparkSession, dispositions: DataFrame, log_path: str) -
     changed since it was read is kept (``changed``). A retried task finds its files
     ``already_gone``. Files with any other disposition are ``kept``.
     """
-    names = ["endpoint", "access.key", "secret.key", "connection.ssl.enabled", "endpoint.region"]
-    conf = {n: spark.conf.get(n, None) for n in (f"spark.hadoop.fs.s3a.{name}" for name in names)}
     loaded = dispositions.where(F.col("disposition") == LOADED).select(
         "SourceFileName", F.unix_millis("SourceFileTime").alias("loaded_ms")
     )
     tasks = math.ceil(loaded.count() / FILES_PER_TASK) or 1
-    deletions = loaded.repartition(tasks).mapInPandas(_deleter(store_options(conf)), "SourceFileName string, outcome string")
+    delete = _deleter(session_store_options(spark))
+    deletions = loaded.repartition(tasks).mapInPandas(delete, "SourceFileName string, outcome string")
     deletions.write.mode("overwrite").parquet(log_path)
     return dispositions.join(spark.read.parquet(log_path), "SourceFileName", "left").withColumn(
         "outcome", F.coalesce("outcome", F.lit(KEPT))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CORRUPT = "_corrupt_record"
 TO_THE_END = 2**31 - 1  # a substring length; counting the characters first would cost a pass over the text
@@ -61,30 +61,28 @@ def _split_scan(spark, path, row_tag, schema, exclude_attributes, lineage, strea
         text = with_lineage(text)
     lineage_columns = [c for c in text.columns if c != "value"]
     parse = {"rowTag": row_tag, "excludeAttribute": str(exclude_attributes).lower(), "ignoreNamespace": "true"}
-    return (
-        text.where(F.contains("value", F.lit(f"<{row_tag}")))
-        .select(F.substring("value", F.instr("value", f"<{row_tag}") + 1, F.lit(TO_THE_END)).alias("rest"), *lineage_columns)
-        .select(F.explode(_elements(F.col("rest"), row_tag)).alias("element"), *lineage_columns)
-        .select(F.from_xml("element", schema, parse).alias("parsed"), *lineage_columns)
-        .select("parsed.*", *lineage_columns)
-    )
-
-
-def _elements(rest: Column, row_tag: str) -> Column:
-    """The row elements in ``rest``: the text after the first ``<`` of a start tag, up to an end tag.
-
-    Nearly always that is one element, told by plain substring search. Only text with a second
-    start tag, an empty element (``<tag/>``) or a longer tag name pays for the regular expressions.
-    """
     tag, end = re.escape(row_tag), F.lit(f"</{row_tag}>")
-    first = F.substring_index(rest, ">", 1)
-    single = (
-        ~F.contains(rest, F.lit(f"<{row_tag}")) & first.rlike(rf"^{tag}(\s|$)") & ~F.endswith(first, F.lit("/"))
+    element, single = F.col("element"), F.col("single")
+
+    # Text up to an end tag, from its first start tag on (less the "<", so that a search finds the next).
+    rest = F.substring("value", F.instr("value", f"<{row_tag}") + 1, F.lit(TO_THE_END))
+    # Nearly always that is one element, told by plain substring search. Only text with a second start
+    # tag, an empty element (<tag/>) or a longer tag name pays for the regular expressions.
+    first = F.substring_index("rest", ">", 1)
+    is_single = (
+        ~F.contains("rest", F.lit(f"<{row_tag}")) & first.rlike(rf"^{tag}(\s|$)") & ~F.endswith(first, F.lit("/"))
     )
-    text = F.concat(F.lit("<"), rest)
+    start = F.concat(F.lit("<"), "rest")
+    elements = F.when(single, F.array(start)).otherwise(F.split(start, rf"(?=<{tag}[\s/>])"))
     empty = rf"(?s)^(<{tag}(?:\s[^>]*)?/>).*"
-    starts = F.filter(F.split(text, rf"(?=<{tag}[\s/>])"), lambda s: s.rlike(rf"^<{tag}[\s/>]"))
-    several = F.transform(
-        starts, lambda s: F.when(s.rlike(empty), F.regexp_extract(s, empty, 1)).otherwise(F.concat(s, end))
+    is_empty = ~single & element.rlike(empty)
+    whole = F.when(is_empty, F.regexp_extract(element, empty, 1)).otherwise(F.concat(element, end))
+    return (
+        text.where(F.contains("value", F.lit(f"<{row_tag}")))
+        .select(rest.alias("rest"), *lineage_columns)
+        .select("rest", is_single.alias("single"), *lineage_columns)
+        .select(F.explode(elements).alias("element"), "single", *lineage_columns)
+        .where(single | element.rlike(rf"^<{tag}[\s/>]"))
+        .select(F.from_xml(whole, schema, parse).alias("parsed"), *lineage_columns)
+        .select("parsed.*", *lineage_columns)
     )
-    return F.when(single, F.array(F.concat(text, end))).otherwise(several)
