@@ -31,10 +31,10 @@ WARM_UP_SECONDS = 3
 MEASURED_SECONDS = 4
 REGISTERED = [
     "json_parse",
-    "zip_explode_rows",
-    "expand_record_rows",
+    "zip_explode",
+    "expand_records",
     "payload_rejects",
-    "batch_name",
+    "batch_identity",
     "distinct_tokens",
     "date_text",
     "audit_stamp",

@@ -30,10 +30,10 @@ ORACLES: dict[str, str] = {}
 RUN_TS = datetime(2024, 1, 15, 10, 30)
 
 
-def query(sql: str) -> Callable[[Query], Query]:
+def query(sql: str, name: str = "") -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
-        ORACLES[run.__name__] = sql
+        QUERIES[name or run.__name__] = run
+        ORACLES[name or run.__name__] = sql
         return run
 
     return register
@@ -202,7 +202,7 @@ PAIR_ROWS = """
 """
 
 
-@query(PAIR_ROWS)
+@query(PAIR_ROWS, "zip_explode")
 def zip_explode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = line_pairs(spark, sf_dir).select("l_orderkey", parse_payload("payload", PAIR).alias("parsed"))
     return zip_explode(transpose(parsed, "parsed", PAIR.fieldNames()), PAIR.fieldNames())
@@ -223,7 +223,7 @@ def zip_explode_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zip_explode(orders, ["k", "s"])
 
 
-@query(PAIR_ROWS)
+@query(PAIR_ROWS, "expand_records")
 def expand_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted(expand_records(line_pairs(spark, sf_dir), "payload", PAIR))
 
@@ -294,18 +294,17 @@ def project_rename_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """
-    select o_orderkey, string_split(o_orderpriority, '-')[2] as item, string_split(o_orderpriority, '-')[6] as missing_item
-    from orders
-    """
-)
+@query("select o_orderkey, string_split(o_orderpriority, '-')[2] as item from orders")
 def split_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A token by position; a position past the end is null, not an error."""
-    priority = F.col("o_orderpriority")
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", name_token(priority, 1, "-").alias("item"), name_token(priority, 5, "-").alias("missing_item")
-    )
+    item = name_token(F.col("o_orderpriority"), 1, "-")
+    return table(spark, sf_dir, "orders").select("o_orderkey", item.alias("item"))
+
+
+@query("select o_orderkey, string_split(o_orderpriority, '-')[6] as item from orders")
+def split_item_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A position past the end is null, not an error."""
+    item = name_token(F.col("o_orderpriority"), 5, "-")
+    return table(spark, sf_dir, "orders").select("o_orderkey", item.alias("item"))
 
 
 @query("select page_id, regexp_replace(url, '.example', '', 'g') as url from pages")
@@ -326,7 +325,8 @@ def distinct_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
            'loads-' || strftime(o_orderdate, '%Y%m%d') || '-' || substr(o_orderpriority, 1, 1) || '.parquet' as target
     from orders where o_orderstatus <> 'P'
     order by 1 desc, 2 desc limit 1
-    """
+    """,
+    "batch_identity",
 )
 def batch_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest (date, hour) among files, some of which are not named well."""
@@ -340,6 +340,13 @@ def batch_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Audit columns.
 
 
+@query('select p_partkey, p_name, cast(count(*) over () as varchar) as "NumRows" from part')
+def numrows_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The total, counted from the table's own row counts, as text on every row."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return stamp(part, "part", part.count()).select("p_partkey", "p_name", "NumRows")
+
+
 @query(
     """
     select l_orderkey, l_linenumber, cast(count(*) over () as varchar) as "NumRows", '15-01-2024' as "ProcessedDate",
