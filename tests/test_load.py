@@ -137,6 +137,13 @@ def test_clean_up_keeps_what_is_new_or_changed(spark, spec, folder):
     assert landed(spec) == ["a_c_d_h.xml", "late_b_d_h.xml"]
 
 
+def test_a_retried_deletion_finds_its_files_gone(spark, spec, folder):
+    put(spec.landing, "a_b_d_h.xml", response(GOOD))
+    files = load_batch(spark, spec, RUN_TS).files
+    for log, outcome in (("first", "deleted"), ("second", "already_gone")):
+        assert rows(delete_loaded(spark, files, f"{folder}/{log}"), "outcome") == [(outcome,)]
+
+
 def test_empty_landing_is_a_no_op(spark, spec):
     os.makedirs(spec.landing)
     result = load_batch(spark, spec, RUN_TS, clean=True)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import put, response, rows
 from pyspark.sql import functions as F
@@ -70,6 +72,44 @@ def test_missing_folder_raises(spark, folder):
         read_xml(spark, f"{folder}/none", "R", SCHEMA)
 
 
+def random_document(rnd):
+    def child(name):
+        text = rnd.choice(["", "1", "a &amp; b", "é ü", "&lt;R&gt;", "<![CDATA[<x>]]>", "two\nlines", "w" * rnd.randrange(200)])
+        return f"<{name}>{text}</{name}>"
+
+    def element():
+        attribute = rnd.choice(["", "", " a='1'", ' b="x/y"', "\n c='2'"])
+        kind = rnd.random()
+        if kind < 0.15:
+            return f"<R{attribute}/>"
+        if kind < 0.25:
+            return f"<Rx{attribute}><p>not a row</p></Rx>"
+        names = [n for n in ("p", "q", "Rname", "other") if rnd.random() < 0.6]
+        return f"<R{attribute}>{''.join(child(n) for n in names)}</R>"
+
+    gap = rnd.choice(["", "\n", "  \n\t"])
+    head = rnd.choice(["", '<?xml version="1.0" encoding="UTF-8"?>\n'])
+    return f"{head}<e x='1'>{gap}{gap.join(element() for _ in range(rnd.randrange(0, 60)))}{gap}</e>\n"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_both_scans_agree_on_random_documents(spark, folder, seed):
+    rnd = random.Random(seed)
+    for n in range(12):
+        put(folder, f"a_b_c_{n}.xml", random_document(rnd))
+    schema = "p string, q string, Rname string, _corrupt_record string"
+    whole = read_xml(spark, folder, "R", schema)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(rnd.randrange(64, 2048)))
+    try:
+        split = read_xml(spark, folder, "R", schema, splittable=True)
+        assert whole.count() > 0
+        assert split.exceptAll(whole).collect() == []
+        assert whole.exceptAll(split).collect() == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_one_large_file_is_spread_over_tasks(spark, folder):
     body = "\n".join(f'<ns1:R x="{i}"><p>value é {i}</p><q>{"y" * (i % 50)}</q></ns1:R>' for i in range(5000))
     put(folder, "a.xml", f'<e xmlns:ns1="u">{body}</e>')
