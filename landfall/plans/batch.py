@@ -16,7 +16,7 @@ from landfall.paths import exists, remove
 from landfall.plans.spec import LoadSpec
 from landfall.session import work_folder
 from landfall.sinks.cleanup import DELETED, delete_loaded
-from landfall.sinks.layer import write_layer
+from landfall.sinks.layer import WriteResult, write_layer
 from landfall.sources.listing import list_files
 from landfall.sources.xml import CORRUPT, read_xml
 
@@ -110,13 +110,18 @@ def load_frame(
             spec.compression,
             merge_to=1 if totals.records <= spec.single_file_rows else None,
         )
-        if written.rows != totals.records and spec.mode != "ignore":
-            raise LoadMismatch(f"{written.rows} of {totals.records} rows were written to {path}")
+        _require_all(written, totals.records, spec.mode)
     if rejects_path:
-        write_layer(rejected(staged, "SourceFileName"), rejects_path, mode=spec.mode)
+        written = write_layer(rejected(staged, "SourceFileName"), rejects_path, mode=spec.mode)
+        _require_all(written, totals.rejects, spec.mode)
     return totals, path, rejects_path
 
 
+def _require_all(written: WriteResult, rows: int, mode: str) -> None:
+    if written.rows != rows and mode != "ignore":
+        raise LoadMismatch(f"{written.rows} of {rows} rows were written to {written.path}")
+
+
 def load_batch(
     spark: SparkSession,
     spec: LoadSpec,

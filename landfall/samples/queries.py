@@ -14,7 +14,7 @@ from landfall.functions.payload import parse_payload, string_record
 from landfall.operators.columns import strip_prefix
 from landfall.operators.expand import POSITION, accepted, expand_records, transpose, zip_explode
 from landfall.plans.batch import expand, load_batch, scan
-from landfall.plans.loads import KEEP, PAYLOAD, ROW_TAG, loads_spec
+from landfall.plans.loads import KEEP, loads_spec
 from landfall.samples.landing import load_records, write_landing
 from landfall.session import work_folder
 from landfall.sinks.cleanup import delete_loaded
@@ -85,9 +85,8 @@ def xml_rowtag_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.to_json(F.array(F.struct(*fields))).alias("payload")
     landed = table(spark, sf_dir, "lineitem").select(payload)
     landed.write.format("xml").option("rootTag", "loads").option("rowTag", "load").save(folder)
-    rows = accepted(
-        expand_records(read_xml(spark, folder, "load", "payload string", lineage=False), "payload", string_record(fields))
-    )
+    scanned = read_xml(spark, folder, "load", "payload string", lineage=False)
+    rows = accepted(expand_records(scanned, "payload", string_record(fields)))
     types = ["bigint", "bigint", "int", "double", "string"]
     return rows.select(*[F.col(f).cast(t) for f, t in zip(fields, types)])
 
@@ -133,7 +132,8 @@ def csv_parts_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     folder = work_folder(spark, "csv")
     customer.repartition(4).write.option("header", True).csv(folder)
-    return read_csv(spark, folder, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    schema = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    return read_csv(spark, folder, schema)
 
 
 # Payloads.
@@ -191,7 +191,10 @@ PAIR = string_record(["id", "flag"])
 def json_transpose(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = line_pairs(spark, sf_dir).select("l_orderkey", parse_payload("payload", PAIR).alias("parsed"))
     return transpose(parsed, "parsed", PAIR.fieldNames()).select(
-        "l_orderkey", F.size("id").alias("n"), F.array_join("id", ",").alias("ids"), F.array_join("flag", ",").alias("flags")
+        "l_orderkey",
+        F.size("id").alias("n"),
+        F.array_join("id", ",").alias("ids"),
+        F.array_join("flag", ",").alias("flags"),
     )
 
 
@@ -332,7 +335,8 @@ def batch_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest (date, hour) among files, some of which are not named well."""
     date = F.date_format("o_orderdate", "yyyyMMdd")
     hour = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("_"), F.substring("o_orderpriority", 1, 1)))
-    name = F.concat(F.lit("s3a://a_b/c_d/erp_"), "o_orderkey", F.lit("_"), date, F.coalesce(hour, F.lit("")), F.lit(".xml"))
+    hour = F.coalesce(hour, F.lit(""))
+    name = F.concat(F.lit("s3a://a_b/c_d/erp_"), "o_orderkey", F.lit("_"), date, hour, F.lit(".xml"))
     identity = batch_identity(table(spark, sf_dir, "orders").select(name.alias("SourceFileName")))
     return identity.withColumn("target", target_name("loads", F.col("date_token"), F.col("hour_token")))
 
@@ -464,7 +468,8 @@ def write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select o_orderkey, o_custkey, o_totalprice from orders order by o_orderkey limit 20")
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice").orderBy("o_orderkey").limit(20)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return orders.orderBy("o_orderkey").limit(20)
 
 
 # Whole loads.

@@ -25,15 +25,15 @@ def load_stream(
     """Start a query that loads what has landed since the last run, then stops.
 
     Every micro-batch becomes its own bronze folder, named after its files and its number, so a
-    replayed micro-batch overwrites itself. ``clean_source`` (``archive`` or ``delete``) is Spark's
-    own file clean-up; it lags behind by one micro-batch.
+    replayed micro-batch overwrites itself, whatever the spec's mode. ``clean_source`` (``archive``
+    or ``delete``) is Spark's own file clean-up; it lags behind by one micro-batch.
     """
     wanted = {"maxFilesPerTrigger": max_files, "cleanSource": clean_source, "sourceArchiveDir": archive}
     options = {k: str(v) for k, v in wanted.items() if v is not None}
 
     def load(batch: DataFrame, number: int) -> None:
         work = work_folder(batch.sparkSession, f"stream-{number}")
-        load_frame(batch, spec, work, run_ts, suffix=f"-{number:010d}")
+        load_frame(batch, spec.but(mode="overwrite"), work, run_ts, suffix=f"-{number:010d}")
         remove(batch.sparkSession, f"{work}/staged")
 
     return (

@@ -51,7 +51,8 @@ if __name__ == "__main__":
     from landfall.session import session
 
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(queries())
-    spark = session({"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
+    spark = session({"spark.master": "local[8]", **conf})
     con, failed = connect(sf_dir), 0
     for name in names:
         start = time.time()

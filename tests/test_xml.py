@@ -25,7 +25,8 @@ def test_elements_of_every_kind(spark, folder, splittable):
     put(folder, "d.xml", "<e></e>")
     put(folder, "e.xml", "")
     want = ["1", None, None, "2 & 3", None, "", "<z>", "a", "8", "9"]
-    assert values(spark, folder, splittable) == sorted(((v,) for v in want), key=lambda t: (t[0] is not None, str(t[0])))
+    ordered = sorted(((v,) for v in want), key=lambda t: (t[0] is not None, str(t[0])))
+    assert values(spark, folder, splittable) == ordered
 
 
 def test_broken_document(spark, folder):
@@ -74,7 +75,8 @@ def test_missing_folder_raises(spark, folder):
 
 def random_document(rnd):
     def child(name):
-        text = rnd.choice(["", "1", "a &amp; b", "é ü", "&lt;R&gt;", "<![CDATA[<x>]]>", "two\nlines", "w" * rnd.randrange(200)])
+        texts = ["", "1", "a &amp; b", "é ü", "&lt;R&gt;", "<![CDATA[<x>]]>", "two\nlines", "w" * rnd.randrange(200)]
+        text = rnd.choice(texts)
         return f"<{name}>{text}</{name}>"
 
     def element():
