@@ -21,7 +21,7 @@ BATCH = 24
 class WordHashes(dict):
     """64-bit hashes of words, computed once each; emptied when it grows past ``most`` entries."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 300_000):
         super().__init__()
         self.most = most
 
