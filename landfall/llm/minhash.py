@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from landfall.llm.common import Work, components
+from landfall.llm.common import Work, components, share
 
 BANDS, ROWS = 24, 5
 #: Hashes compared at a time; a pair may be given up after each batch.
@@ -139,16 +139,58 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float, miss: float) ->
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def item_sets(docs: DataFrame) -> DataFrame:
-    """``(id, items)``: each row's sorted shingle hashes as bytes."""
+#: Bits and parts of the filter that picks texts whose sets are needed; its size does not depend on the input.
+FILTER_BITS, FILTER_PARTS = 2**26, 16
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter (8 MB) of ``ids (id)``, built part by part. False hits only cost time."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(FILTER_BITS // FILTER_PARTS, bool)
+        for place in filter_places(rows["h"].to_numpy()):
+            flags[place] = True
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    h = F.xxhash64("id")
+    small = ids.select(F.pmod(h, F.lit(FILTER_PARTS)).cast("int").alias("part"), h.alias("h"))
+    # A part of the ids may be large: each task makes its own bits, and equal parts are united afterwards.
+    salted = small.withColumn("salt", F.pmod(F.shiftright("h", 8), F.lit(16)))
+    whole = np.zeros(FILTER_BITS // 8, np.uint8).reshape(FILTER_PARTS, -1)
+    made = salted.groupBy("part", "salt").applyInPandas(run, "part int, bits binary")
+    for row in made.toLocalIterator():
+        whole[row["part"]] |= np.frombuffer(row["bits"], np.uint8)
+    return whole
+
+
+def filter_places(h: np.ndarray) -> Iterator[np.ndarray]:
+    h = h.view(np.uint64)
+    for shift in (12, 26, 40):
+        yield (h >> np.uint64(shift)) % np.uint64(FILTER_BITS // FILTER_PARTS)
+
+
+def item_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """``(id, items)``: sorted shingle hashes as bytes, of the rows whose id the filter holds."""
+    shared = share(docs.sparkSession, wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, bits = WordHashes(), shared.value
         for batch in batches:
+            h = batch["h"].to_numpy()
+            part, hit = h % FILTER_PARTS, np.ones(len(h), bool)
+            for place in filter_places(h):
+                hit &= (bits[part, place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            batch = batch.filter(pa.array(hit))
             items = pa.array([shingles(t.as_py(), hashes).tobytes() for t in batch["text"]], pa.binary())
             yield pa.RecordBatch.from_arrays([batch["id"], items], names=["id", "items"])
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, items binary")
+    return docs.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(run, "id bigint, items binary")
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, for sorted distinct items."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -158,9 +200,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for row, (a, b) in enumerate(zip(batch["items_a"], batch["items_b"])):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * both >= percent * (len(a) + len(b) - both):
+                if similar(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), percent):
                     keep.append(row)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
@@ -169,8 +209,43 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "items_a", "items_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def joined_in_buckets(rows: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links ``(a, b)`` that join different parts within a group of ``(bucket, i, j, block, id, part, sig, items)``.
+
+    A group holds one block of a bucket (i = j), or two, whose members are compared across. Pairs of different parts go through
+    the sequential comparison of signatures; what survives is verified on full sets, likeliest first, and a verified
+    pair joins its parts, so later pairs of one part need no test. Links number less than the group's members.
+    """
+    bounds = least_matches(percent / 100, miss)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id")
+        sigs = np.frombuffer(b"".join(rows["sig"]), "<u4").reshape(len(rows), -1)
+        items = [np.frombuffer(i, np.uint64) for i in rows["items"]]
+        ids, block = rows["id"].to_numpy(), rows["block"].to_numpy()
+        part = np.unique(rows["part"].to_numpy(), return_inverse=True)[1]
+        across = rows["i"].iat[0] != rows["j"].iat[0]
+        tests = []
+        for x in range(len(rows) - 1):
+            y = np.arange(x + 1, len(rows))
+            y = y[(part[y] != part[x]) & (~across | (block[y] != block[x]))]
+            y = y[survivors(np.broadcast_to(sigs[x], (len(y), sigs.shape[1])), sigs[y], bounds)]
+            if len(y):
+                tests.append(np.stack([np.full(len(y), x), y, (sigs[y] == sigs[x]).sum(axis=1)]))
+        found = []
+        if tests:
+            x, y, matches = np.concatenate(tests, axis=1)
+            for a, b in zip(*np.stack([x, y])[:, np.argsort(-matches, kind="stable")]):
+                if part[a] != part[b] and similar(items[a], items[b], percent):
+                    part[part == part[b]] = part[a]
+                    found.append((ids[a], ids[b]))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return rows.groupBy("bucket", "i", "j").applyInPandas(run, "a bigint, b bigint")
+
+
 def near_duplicates(
-    work: Work, docs: DataFrame, percent: int = 85, miss: float = 1e-6, pivots: int = 64
+    work: Work, docs: DataFrame, percent: int = 85, miss: float = 1e-6, block_rows: int = 512, block_bytes: int = 32_000_000
 ) -> DataFrame:
     """Per row of ``docs (doc_id, text)``: ``doc_id, n_shingles, component_id, kept``.
 
@@ -178,13 +253,13 @@ def near_duplicates(
 
     1. Equal sets form a class, represented by its smallest id; only representatives go on.
     2. 24 bands of 5 MinHash rows put representatives into buckets. A pair at 0.85 misses all with odds 7e-7.
-    3. Candidates never are all pairs of a bucket. First each member is paired with the bucket's smallest id.
-       Then, round by round, buckets that still hold several components go on: up to ``pivots`` members outside a
-       bucket's largest component are paired with its members of other components. A pivot is then settled
-       and leaves its bucket; rounds end when every bucket is down to one component. Every two members of a bucket have then
-       been compared or are linked through others, so components are those of comparing all pairs.
-    4. A candidate's signatures are compared in batches of 24; it is given up when the posterior odds of reaching the
-       threshold fall below ``miss``. Survivors are verified on their full sets.
+    3. Each member is paired with its bucket's smallest id, one row a member. Signatures are compared in batches of 24
+       hashes; a pair is given up when the posterior odds of reaching the threshold fall below ``miss``. Survivors are verified
+       on their full sets, and verified links joined into parts.
+    4. Buckets whose other members still belong to several parts are compared in full, inside tasks: members in blocks of about
+       ``block_rows`` and ``block_bytes``, one task per pair of blocks, again sequentially and verified, skipping pairs of one
+       part. Only links leave a task, fewer than it has members. So every two members of a bucket have been compared
+       or are linked through others, whatever the bucket's size, and components are those of comparing all pairs.
 
     ``component_id`` is the smallest id reachable by links, ``kept`` marks the row that has it. Rows without words have no
     shingles and link with nothing, nor do rows with a null id (their component is null, and they are kept). Repeated
@@ -193,48 +268,38 @@ def near_duplicates(
     """
     rows = work.keep(signed(docs), "signed")
     known = rows.filter("set_hash is not null and doc_id is not null")
-    reps = work.keep(known.groupBy("set_hash").agg(F.min(F.struct("doc_id", "sig")).alias("best")).select(
-        "set_hash", F.col("best.doc_id").alias("id"), F.col("best.sig").alias("sig")
-    ), "reps")
+    best = F.min(F.struct("doc_id", "sig")).alias("best")
+    reps = known.groupBy("set_hash").agg(best).select("set_hash", F.col("best.doc_id").alias("id"), F.col("best.sig").alias("sig"))
+    reps = work.keep(reps, "reps")
+    rows_slim = work.keep(rows.select("doc_id", "n_shingles", "set_hash"), "rows")
+    work.drop(rows)
     buckets = banded(reps)
-    shared = work.keep(
-        buckets.join(buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "bucket").select(
-            "bucket", "id", "first"
-        ),
-        "buckets",
-    )
-    who = shared.select("id").distinct()
-    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(who, "id", "left_semi")
-    sets = work.keep(item_sets(whole), "sets").dropDuplicates(["id"])
-    threshold = percent / 100
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        return work.keep(linked(work.keep(likely(pairs, reps, threshold, miss), "likely"), sets, percent), "links")
-
-    pairs = work.keep(shared.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    links, tested, open_rows = verify(pairs), pairs, shared.filter("id <> first").select("bucket", "id")
-    while True:
-        parts = components(work, links)
-        placed = open_rows.join(parts, "id", "left").select("bucket", "id", F.coalesce("component_id", "id").alias("part"))
-        counts = placed.groupBy("bucket", "part").count()
-        largest = counts.groupBy("bucket").agg(F.max(F.struct("count", "part")).alias("top"), F.count("*").alias("parts"))
-        largest = largest.filter("parts > 1").select("bucket", F.col("top.part").alias("big"))
-        unsettled = work.keep(placed.join(largest, "bucket"), "unsettled")
-        if unsettled.isEmpty():
-            break
-        order = Window.partitionBy("bucket").orderBy("id")
-        chosen = unsettled.filter("part <> big").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= pivots)
-        chosen = work.keep(chosen.select("bucket", F.col("id").alias("pivot"), F.col("part").alias("pivot_part")), "pivots")
-        met = unsettled.join(chosen, "bucket").filter("part <> pivot_part")
-        pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        pairs = work.keep(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links, tested = links.union(verify(pairs)), tested.union(pairs)
-        settled = chosen.select("bucket", F.col("pivot").alias("id"))
-        open_rows = unsettled.select("bucket", "id").join(settled, ["bucket", "id"], "left_anti")
-    classes = reps.select("set_hash", "id").join(parts, "id", "left").select(
-        "set_hash", F.coalesce("component_id", "id").alias("_part")
-    )
-    own = rows.select("doc_id", "n_shingles", "set_hash").join(classes, "set_hash", "left")
-    return own.select(
-        "doc_id", "n_shingles", F.coalesce("_part", "doc_id").alias("component_id")
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    full = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("bucket", "first")
+    shared = work.keep(buckets.join(full, "bucket"), "buckets")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id is not null")
+    wanted = id_filter(shared.select("id").distinct())
+    sets = work.keep(item_sets(texts, wanted), "sets").dropDuplicates(["id"])
+
+    others = shared.filter("id <> first")
+    pairs = work.keep(others.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    links = work.keep(linked(work.keep(likely(pairs, reps, percent / 100, miss), "likely"), sets, percent), "links")
+    parts = components(work, links)
+    placed = others.join(parts, "id", "left").select("bucket", "id", F.coalesce("component_id", "id").alias("part"))
+    open_rows = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    open_rows = placed.join(open_rows.select("bucket"), "bucket")
+    loaded = open_rows.join(sets, "id").join(reps.select("id", "sig"), "id")
+    loaded = work.keep(loaded.select("bucket", "id", "part", "sig", "items"), "open")
+    size = loaded.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.octet_length("items")).alias("bytes"))
+    blocks = F.ceil(F.greatest(F.col("n") / block_rows, F.col("bytes") / block_bytes)).cast("int")
+    cut = loaded.join(size.select(F.col("bucket").alias("_bucket"), blocks.alias("blocks")), F.col("bucket") == F.col("_bucket"))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    i, j = F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    more = joined_in_buckets(cut.select("bucket", i, j, "block", "id", "part", "sig", "items"), percent, miss)
+    links = links.union(work.keep(more, "links").distinct())
+    parts = components(work, links)
+    work.drop(loaded)
+    classes = reps.select("set_hash", "id").join(parts, "id", "left").select("set_hash", F.coalesce("component_id", "id").alias("_part"))
+    own = rows_slim.join(classes, "set_hash", "left")
+    found = own.select("doc_id", "n_shingles", F.coalesce("_part", "doc_id").alias("component_id"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
