@@ -140,7 +140,7 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float, miss: float) ->
 
 
 #: Bits and parts of the filter that picks texts whose sets are needed; its size does not depend on the input.
-FILTER_BITS, FILTER_PARTS = 2**26, 16
+FILTER_BITS, FILTER_PARTS = 2**26, 256
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
@@ -154,12 +154,9 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
     h = F.xxhash64("id")
     small = ids.select(F.pmod(h, F.lit(FILTER_PARTS)).cast("int").alias("part"), h.alias("h"))
-    # A part of the ids may be large: each task makes its own bits, and equal parts are united afterwards.
-    salted = small.withColumn("salt", F.pmod(F.shiftright("h", 8), F.lit(16)))
     whole = np.zeros(FILTER_BITS // 8, np.uint8).reshape(FILTER_PARTS, -1)
-    made = salted.groupBy("part", "salt").applyInPandas(run, "part int, bits binary")
-    for row in made.toLocalIterator():
-        whole[row["part"]] |= np.frombuffer(row["bits"], np.uint8)
+    for row in small.groupBy("part").applyInPandas(run, "part int, bits binary").collect():  # the filter itself, 8 MB
+        whole[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     return whole
 
 
