@@ -27,7 +27,7 @@ class Encoder:
     RUN = re.compile(r"\s\s|^\s|\s$")
     CUT = re.compile(r"(?<=\S)(?= \S)")
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
@@ -52,7 +52,7 @@ class Encoder:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in split]
 
 
-def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, batch_chars: int = 4_000_000) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, batch_chars: int = 1_000_000) -> DataFrame:
     """Each document's ids and ``end_id``, cut into full windows and a rest: one row a piece, ids as little-endian uint32.
 
     ``nth`` numbers the pieces of one length within one task's part of the rows.
