@@ -121,7 +121,7 @@ def train(samples: dict[str, Counter]) -> Model:
     keys = np.array([k for k, _ in items], np.int64)
     costs = np.array([c for _, c in items]).reshape(len(items), len(languages))
     left = sorted((place(c), e.tolist()) for c, e in escapes.items())
-    return Model(languages, keys, costs, np.array([k for k, _ in left], np.int64), np.array([e for _, e in left]).reshape(len(left), -1))
+    return Model(languages, keys, costs, np.array([k for k, _ in left], np.int64), np.array([e for _, e in left]).reshape(len(left), len(languages)))
 
 
 def fit(docs: DataFrame, docs_per_language: int = 200, max_chars: int = 20_000) -> Model:

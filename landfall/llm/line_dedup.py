@@ -118,7 +118,8 @@ def dedup_lines(
     added ones are replaced. Empty tables give no rows.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    cuts = [float("inf"), *sorted(set(docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)), reverse=True)]
+    shares = [i / batches for i in range(1, batches)]
+    cuts = [float("inf"), *sorted(set(docs.approxQuantile("doc_id", shares, 0.01) if shares else []), reverse=True)]
     batch = F.lit(len(cuts) - 1)
     for i in range(len(cuts) - 1, 0, -1):
         batch = F.when(F.col("doc_id") >= F.lit(cuts[i]), F.lit(i - 1)).otherwise(batch)
