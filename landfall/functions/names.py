@@ -32,18 +32,23 @@ def batch_tokens(path: Column | str) -> tuple[Column, Column]:
     return name_token(name, DATE_POSITION).alias("date_token"), hour.alias("hour_token")
 
 
-def latest_identity(path: Column | str) -> Column:
+def latest_identity(path: Column | str, date_format: str | None = None) -> Column:
     """Aggregate: the latest (date, hour) pair; null when no file name carries both.
 
-    A single maximum over the pair, so date and hour always come from the same file.
+    A single maximum over the pair, so date and hour always come from the same file. With ``date_format``
+    dates compare as dates, before any that do not parse; without it, and among equal ones, tokens
+    compare as text.
     """
     date, hour = batch_tokens(path)
-    return F.max(F.when(date.isNotNull() & hour.isNotNull(), F.struct(date, hour)))
+    pair = F.struct(date, hour)
+    when = F.to_date(F.try_to_timestamp(date, F.lit(date_format))) if date_format else F.lit(None).cast("date")
+    order = F.struct(F.coalesce(when, F.lit("0001-01-01").cast("date")), date, hour)
+    return F.max_by(pair, F.when(date.isNotNull() & hour.isNotNull(), order))
 
 
-def batch_identity(df: DataFrame, path: str = "SourceFileName") -> DataFrame:
+def batch_identity(df: DataFrame, path: str = "SourceFileName", date_format: str | None = None) -> DataFrame:
     """One row with a batch's latest (date, hour)."""
-    return df.agg(latest_identity(path).alias("latest")).select("latest.date_token", "latest.hour_token")
+    return df.agg(latest_identity(path, date_format).alias("latest")).select("latest.date_token", "latest.hour_token")
 
 
 def target_name(entity: str, date: Column, hour: Column) -> Column:

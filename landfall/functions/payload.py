@@ -23,8 +23,22 @@ def parse_payload(payload: Column | str, record: T.StructType, mode: str = "PERM
     """Parse text holding a JSON array of ``record`` objects (or one object) into an array of structs.
 
     Declare only the wanted fields: Spark parses every declared one, even when it is dropped later.
+    ``from_json`` ignores what follows the first value of a text. Here the text is parsed inside brackets of its
+    own, where anything that follows breaks the JSON or counts as one more value: either way the result is null.
     """
-    return F.from_json(payload, T.ArrayType(record), {"mode": mode})
+    payload = F.col(payload) if isinstance(payload, str) else payload
+    text = F.trim(payload, F.lit(" \t\n\r"))
+    listed = text.startswith("[") | (text == "null")
+    inside = F.when(text == "", text).when(listed, F.concat(F.lit("["), text, F.lit("]")))
+    inside = inside.otherwise(F.concat(F.lit("[["), text, F.lit("]]")))
+    values = F.from_json(inside, T.ArrayType(T.ArrayType(record)), {"mode": mode})
+
+    def only(found: Column) -> Column:
+        first = F.get(found, 0)
+        return F.when((F.size(found) == 1) & (listed | (F.size(first) == 1)), first)
+
+    # Through a lambda, so that the text is parsed once however often its value is looked at.
+    return F.get(F.transform(F.array(values), only), 0)
 
 
 def reject_reason(payload: Column, parsed: Column) -> Column:

@@ -87,7 +87,7 @@ def load_frame(
     totals = counts.agg(
         F.coalesce(F.sum("records"), F.lit(0)).alias("records"),
         F.coalesce(F.sum("rejects"), F.lit(0)).alias("rejects"),
-        latest_identity("SourceFileName").alias("latest"),
+        latest_identity("SourceFileName", spec.date_format).alias("latest"),
     )
     date, hour = F.col("latest.date_token"), F.concat("latest.hour_token", F.lit(suffix))
     name = F.when(F.col("latest").isNotNull(), target_name(spec.entity, date, hour))
@@ -108,7 +108,7 @@ def load_frame(
             spec.fmt,
             spec.mode,
             spec.compression,
-            merge_to=1 if totals.records <= spec.single_file_rows else None,
+            merge_to=spec.files,
         )
         _require_all(written, totals.records, spec.mode)
     if rejects_path:
@@ -122,6 +122,28 @@ def _require_all(written: WriteResult, rows: int, mode: str) -> None:
         raise LoadMismatch(f"{written.rows} of {rows} rows were written to {written.path}")
 
 
+def proven(
+    spark: SparkSession, spec: LoadSpec, work: str, path: str, rejects_path: str, listing: DataFrame | None = None
+) -> DataFrame:
+    """The dispositions of a load's files; raises ``LoadMismatch`` if a table does not hold what was read."""
+    counts = spark.read.parquet(f"{work}/counts")
+    nothing = counts.select("SourceFileName").where(F.lit(False))
+    write_layer(
+        reconcile(
+            nothing if listing is None else listing,
+            counts,
+            read_bronze(spark, spec).load(path) if path else nothing,
+            spark.read.parquet(rejects_path) if rejects_path else nothing,
+        ),
+        f"{work}/dispositions",
+    )
+    files = spark.read.parquet(f"{work}/dispositions")
+    wrong = files.where(F.col("disposition") == MISMATCH).count()
+    if wrong:
+        raise LoadMismatch(f"{wrong} landed files are not fully in {path or rejects_path}")
+    return files
+
+
 def load_batch(
     spark: SparkSession,
     spec: LoadSpec,
@@ -138,24 +160,13 @@ def load_batch(
     """
     work = work_folder(spark, "load")
     listing = list_files(spark, spec.landing, **spec.read_options) if report_unread else None
-    totals, path, rejects_path = load_frame(scan(spark, spec), spec, work, run_ts)
-
-    counts = spark.read.parquet(f"{work}/counts")
-    nothing = counts.select("SourceFileName").where(F.lit(False))
-    write_layer(
-        reconcile(
-            nothing if listing is None else listing,
-            counts,
-            read_bronze(spark, spec).load(path) if path else nothing,
-            spark.read.parquet(rejects_path) if rejects_path else nothing,
-        ),
-        f"{work}/dispositions",
-    )
+    try:
+        totals, path, rejects_path = load_frame(scan(spark, spec), spec, work, run_ts)
+    except Exception:
+        remove(spark, work)
+        raise
+    files = proven(spark, spec, work, path, rejects_path, listing)
     remove(spark, f"{work}/staged")
-    files = spark.read.parquet(f"{work}/dispositions")
-    wrong = files.where(F.col("disposition") == MISMATCH).count()
-    if wrong:
-        raise LoadMismatch(f"{wrong} landed files are not fully in {path or rejects_path}")
     deleted = 0
     if clean:
         files = delete_loaded(spark, files, f"{work}/deletions")

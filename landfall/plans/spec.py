@@ -14,8 +14,9 @@ from landfall.functions.payload import string_record
 class LoadSpec:
     """One endpoint's landing folder, its record layout, and where its bronze tables go.
 
-    A batch of up to ``single_file_rows`` rows becomes one bronze file. A larger one gets a file
-    per scan task, so its write is as parallel as its read and files are about as large as a split.
+    Bronze gets a file per scan task, so its write is as parallel as its read; ``files`` asks for that
+    many instead, whatever the batch's size. ``date_format`` is the pattern of the date token in file
+    names, by which the latest file of a batch is found; without it dates compare as text.
     ``read_options`` go to the scan and the listing: ``pathGlobFilter``, ``recursiveFileLookup``, ...
     """
 
@@ -31,8 +32,9 @@ class LoadSpec:
     fmt: str = "parquet"
     mode: str = "overwrite"
     compression: str = "snappy"
-    single_file_rows: int = 100_000
-    splittable: bool = True
+    files: int | None = None
+    splittable: bool = False
+    date_format: str | None = None
     read_options: Mapping[str, str] = field(default_factory=dict)
 
     @property

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from landfall.paths import remove
-from landfall.plans.batch import load_frame, scan
+from landfall.plans.batch import load_frame, proven, scan
 from landfall.plans.spec import LoadSpec
 from landfall.session import work_folder
+from landfall.sinks.cleanup import delete_loaded
 
 
 def load_stream(
@@ -18,26 +19,30 @@ def load_stream(
     spec: LoadSpec,
     checkpoint: str,
     run_ts: datetime | None = None,
-    max_files: int | None = None,
-    clean_source: str | None = None,
-    archive: str | None = None,
+    max_files: int = 10_000,
+    clean: bool = False,
 ) -> StreamingQuery:
     """Start a query that loads what has landed since the last run, then stops.
 
     Every micro-batch becomes its own bronze folder, named after its files and its number, so a
-    replayed micro-batch overwrites itself, whatever the spec's mode. ``clean_source`` (``archive``
-    or ``delete``) is Spark's own file clean-up; it lags behind by one micro-batch.
+    replayed micro-batch overwrites itself, whatever the spec's mode. ``max_files`` bounds a micro-batch;
+    it paces the run and leaves nothing out. ``clean`` deletes, per micro-batch, the files proven to be loaded;
+    files without a row element or with a bad name stay.
     """
-    wanted = {"maxFilesPerTrigger": max_files, "cleanSource": clean_source, "sourceArchiveDir": archive}
-    options = {k: str(v) for k, v in wanted.items() if v is not None}
 
     def load(batch: DataFrame, number: int) -> None:
         work = work_folder(batch.sparkSession, f"stream-{number}")
-        load_frame(batch, spec.but(mode="overwrite"), work, run_ts, suffix=f"-{number:010d}")
-        remove(batch.sparkSession, f"{work}/staged")
+        try:
+            once = spec.but(mode="overwrite")
+            _, path, rejects_path = load_frame(batch, once, work, run_ts, suffix=f"-{number:010d}")
+            files = proven(batch.sparkSession, once, work, path, rejects_path)
+            if clean:
+                delete_loaded(batch.sparkSession, files, f"{work}/deletions")
+        finally:
+            remove(batch.sparkSession, work)
 
     return (
-        scan(spark, spec, stream=True, **options)
+        scan(spark, spec, stream=True, maxFilesPerTrigger=str(max_files))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -205,7 +205,7 @@ def test_one_file_with_most_rows(spark, spec):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        result = load_batch(spark, spec.but(single_file_rows=1000), RUN_TS, clean=True)
+        result = load_batch(spark, spec.but(splittable=True), RUN_TS, clean=True)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     bronze = spark.read.parquet(result.path)
@@ -216,12 +216,28 @@ def test_one_file_with_most_rows(spark, spec):
     assert hot.count() == 20000
 
 
+def test_file_count_is_a_parameter_not_a_size(spark, spec):
+    for n in range(6):
+        put(spec.landing, f"a_b_d_{n}.xml", response(GOOD))
+    one = load_batch(spark, spec.but(files=1), RUN_TS)
+    assert len(spark.read.parquet(one.path).inputFiles()) == 1
+    many = load_batch(spark, spec, RUN_TS)
+    assert len(spark.read.parquet(many.path).inputFiles()) > 1
+
+
+def test_latest_by_date(spark, spec):
+    for token in ("31-01-2024_9", "01-02-2024_1", "15-01-2024_23"):
+        put(spec.landing, f"a_b_{token}.xml", response(GOOD))
+    result = load_batch(spark, spec.but(date_format="dd-MM-yyyy"), RUN_TS)
+    assert result.path.endswith("-01-02-2024-1.parquet")
+
+
 def test_the_xml_is_read_once(spark, spec, monkeypatch):
     put(spec.landing, "a_b_d_h.xml", response(GOOD))
     seen = []
     original = batch.scan
     monkeypatch.setattr(batch, "scan", lambda *a, **k: seen.append(original(*a, **k)) or seen[-1])
-    load_batch(spark, spec, RUN_TS)
+    load_batch(spark, spec.but(splittable=True), RUN_TS)
     plan = batch.expand(seen[0], spec)._jdf.queryExecution().executedPlan().toString()
     assert len(seen) == 1
     assert plan.count("from_xml") == 1 and plan.count("from_json") == 1 and "Exchange" not in plan

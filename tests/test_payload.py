@@ -126,6 +126,22 @@ def test_strip_prefix(spark):
     assert rows(strip_prefix(df)) == [(1, 2, 3)]
 
 
+def test_strip_prefix_cuts_once_and_refuses_collisions(spark):
+    assert strip_prefix(spark.sql("select 1 as `a.b.c`, 2 as `x.d`, 3 as y")).columns == ["b.c", "d", "y"]
+    with pytest.raises(ValueError, match="collide"):
+        strip_prefix(spark.sql("select 1 as `a.b`, 2 as `x.b`"))
+
+
+def test_text_after_the_first_value_is_malformed(spark):
+    record = string_record(["a"])
+    texts = ['[{"a":1}][{"a":2}]', '{"a":1}{"a":2}', '[{"a":1}] rest', '[{"a":1}],[{"a":2}]', '{"a":1},{"a":2}', "null", ""]
+    good = ['[{"a":1},null]', ' {"a":1} ', "[]"]
+    df = spark.createDataFrame([(t,) for t in texts + good], "p string").select("p", parse_payload("p", record).alias("r"))
+    found = {r["p"]: None if r["r"] is None else [None if x is None else x["a"] for x in r["r"]] for r in df.collect()}
+    assert [found[t] for t in texts] == [None] * len(texts)
+    assert [found[t] for t in good] == [["1", None], ["1"], []]
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -33,13 +33,15 @@ def test_each_file_is_loaded_once(spark, folder):
     assert rows(rejects, "reject_reason") == [("empty",)]
 
 
-def test_file_limit_and_archive(spark, folder):
-    spec = loads_spec(f"{folder}/landing/in", f"{folder}/bronze", "erp", splittable=False)
+def test_file_limit_and_clean(spark, folder):
+    """Only loaded files go: not one with a foreign prefix, nor one with a bad name."""
+    spec = loads_spec(f"{folder}/landing/in", f"{folder}/bronze", "erp")
     for n in range(3):
         put(spec.landing, f"a_b_d_{n}.xml", one(n))
-    os.makedirs(f"{folder}/archive")
-    loaded = run(spark, spec, folder, max_files=1, clean_source="archive", archive=f"{folder}/archive")
+    put(spec.landing, "a_b_d_9.xml", one(9).replace("ns1:", "ns2:"))
+    put(spec.landing, "short.xml", one(8))
+    loaded = run(spark, spec, folder, max_files=1, clean=True)
     assert rows(loaded, "t10_id") == [("0",), ("1",), ("2",)]
-    assert len(os.listdir(spec.target)) == 3
-    archived = sum(len(files) for _, _, files in os.walk(f"{folder}/archive"))
-    assert archived + len(os.listdir(spec.landing)) == 3 and archived >= 1
+    assert sorted(os.listdir(spec.landing)) == ["a_b_d_9.xml", "short.xml"]
+    run(spark, spec, folder, max_files=1, clean=True)
+    assert sorted(os.listdir(spec.landing)) == ["a_b_d_9.xml", "short.xml"]

@@ -149,6 +149,6 @@ def test_listing_is_fixed_when_made(spark, folder):
 
 
 def test_csv_parts_with_headers(spark, folder):
-    put(folder, "part-00000.csv", "Nome,Idade\nJoão,25\n")
-    put(folder, "part-00001.csv", "Nome,Idade\nMaria,30\nPedro,35\n")
-    assert rows(read_csv(spark, folder, "Nome string, Idade int")) == [("João", 25), ("Maria", 30), ("Pedro", 35)]
+    put(folder, "part-00000.csv", "port,depth\nÅlesund,12\n")
+    put(folder, "part-00001.csv", "port,depth\nGdynia,14\nKočevje,0\n")
+    assert rows(read_csv(spark, folder, "port string, depth int")) == [("Gdynia", 14), ("Kočevje", 0), ("Ålesund", 12)]
