@@ -32,9 +32,20 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+#: Rows of whole texts are large: so many go to a Python worker at a time, unless the session asks for fewer.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def share(spark: SparkSession, value):
     """Broadcast a value of bounded size."""
     importable(spark)
+    small_batches(spark)
     return spark.sparkContext.broadcast(value)
 
 
@@ -43,6 +54,7 @@ class Work:
 
     def __init__(self, spark: SparkSession, label: str):
         importable(spark)
+        small_batches(spark)
         self.spark, self.root, self.n = spark, work_folder(spark, label), 0
 
     def keep(self, df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
