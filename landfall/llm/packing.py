@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ class Encoder:
     RUN = re.compile(r"\s\s|^\s|\s$")
     CUT = re.compile(r"(?<=\S)(?= \S)")
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 100_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
@@ -52,7 +53,19 @@ class Encoder:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in split]
 
 
-def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, batch_chars: int = 1_000_000) -> DataFrame:
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One encoder per process and file: a tokenizer takes time and memory to load."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    pa.default_memory_pool().release_unused()
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
+def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, batch_chars: int = 500_000) -> DataFrame:
     """Each document's ids and ``end_id``, cut into full windows and a rest: one row a piece, ids as little-endian uint32.
 
     ``nth`` numbers the pieces of one length within one task's part of the rows.
@@ -61,7 +74,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, batch_char
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, seen = Encoder(tokenizer), TaskContext.get().partitionId(), [0] * (window + 1)
+        encoder, part, seen = encoder_of(tokenizer), TaskContext.get().partitionId(), [0] * (window + 1)
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("doc_tokens", pa.int64()),
                             ("ids", pa.binary()), ("part", pa.int32()), ("nth", pa.int64())])
 
