@@ -1,12 +1,14 @@
 """Every operator against a brute-force version on small input, and on odd rows."""
 
 import itertools
+import json
 import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -274,11 +276,16 @@ def test_packing_round_trip(work, docs):
     assert packing.pack(work, none(docs), tokenizer()).collect() == []
 
 
-def test_encoder_cuts_only_where_ids_agree():
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_gives_the_ids_of_tokenizers(spark, name):
     from tokenizers import Tokenizer
 
-    whole, own = Tokenizer.from_file(tokenizer()), packing.Encoder(tokenizer())
+    path = public_tokenizers.path(name)
+    whole, own = Tokenizer.from_file(path), packing.Encoder(path)
+    assert (packing.merge_ranks(json.load(open(path))) is not None) == name.startswith("byte")
     texts = ["a  b", " a", "a ", "don't  we'll\n\n x\t y", "é ü\u3000z  \u00a0 q", "1 22 333 !? a1 b", "<|endoftext|> x", "", "\x1c a \x85b c"]
+    texts += [c * 100_000 for c in (" ", "\n", "a", "é", "^", "7")] + ["".join(map(chr, range(1, 0xD800)))]
+    texts += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text]
     assert [i.tolist() for i in own.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
