@@ -95,25 +95,19 @@ def load_frame(
     path = f"{spec.target.rstrip('/')}/{totals.name}" if totals.name else ""
     rejects_path = f"{spec.rejects_path}/{totals.name or UNNAMED + suffix}" if totals.rejects else ""
 
-    if spec.mode == "overwrite":
-        if path:
-            _refuse_to_drop(path, read_bronze(spark, spec), counts)
-        if rejects_path:
-            _refuse_to_drop(rejects_path, spark.read.format("parquet"), counts)
     if path:
         bronze = accepted(staged).select(*spec.columns, "SourceFileName")
-        written = write_layer(
-            stamp(bronze, spec.source_name, totals.records, run_ts),
-            path,
-            spec.fmt,
-            spec.mode,
-            spec.compression,
-            merge_to=spec.files,
-        )
-        _require_all(written, totals.records, spec.mode)
+        bronze, there = _lacking(bronze, path, read_bronze(spark, spec), spec.mode, f"{work}/in-bronze")
+        if bronze is not None:
+            bronze = stamp(bronze, spec.source_name, totals.records, run_ts)
+            written = write_layer(bronze, path, spec.fmt, spec.mode, spec.compression, merge_to=spec.files)
+            _require_all(written, totals.records - there, spec.mode)
     if rejects_path:
-        written = write_layer(rejected(staged, "SourceFileName"), rejects_path, mode=spec.mode)
-        _require_all(written, totals.rejects, spec.mode)
+        rejects = rejected(staged, "SourceFileName")
+        rejects, there = _lacking(rejects, rejects_path, spark.read.format("parquet"), spec.mode, f"{work}/in-rejects")
+        if rejects is not None:
+            written = write_layer(rejects, rejects_path, mode=spec.mode)
+            _require_all(written, totals.rejects - there, spec.mode)
     return totals, path, rejects_path
 
 
@@ -156,34 +150,81 @@ def load_batch(
     Errors propagate and leave landing untouched. Files that arrive during the run are neither
     loaded nor deleted, and a file that holds no row element is never deleted. ``report_unread``
     adds the latter to the result as ``no_records``; it costs a second listing of landing and, as
-    Spark scans files, a task for every few of them.
+    Spark scans files, a task for every few of them. A load can be repeated at any point: files the
+    target already holds are not written twice, and an interrupted clean-up is finished first.
     """
     work = work_folder(spark, "load")
     listing = list_files(spark, spec.landing, **spec.read_options) if report_unread else None
     try:
+        deleted = _finish_clean_up(spark, spec, work, clean)
         totals, path, rejects_path = load_frame(scan(spark, spec), spec, work, run_ts)
+        files = proven(spark, spec, work, path, rejects_path, listing)
+        if clean:
+            write_layer(files, spec.ledger_path)
+            files = delete_loaded(spark, files, f"{work}/deletions")
+            deleted += files.where(F.col("outcome") == DELETED).count()
+            remove(spark, spec.ledger_path)
     except Exception:
         remove(spark, work)
         raise
-    files = proven(spark, spec, work, path, rejects_path, listing)
-    remove(spark, f"{work}/staged")
-    deleted = 0
-    if clean:
-        files = delete_loaded(spark, files, f"{work}/deletions")
-        deleted = files.where(F.col("outcome") == DELETED).count()
+    for table in ("staged", "in-bronze", "in-rejects"):
+        remove(spark, f"{work}/{table}")
     return LoadResult(0, totals.records, totals.rejects, path, rejects_path, deleted, files)
 
 
+def _finish_clean_up(spark: SparkSession, spec: LoadSpec, work: str, clean: bool) -> int:
+    """Delete what an interrupted clean-up left, by its ledger of proven files; returns how many.
+
+    The ledger stands from before the first deletion until after the last, so what it names is in bronze, in
+    whichever folder, and must not be loaded again. A file that changed since then is kept, and loaded.
+    """
+    if not exists(spark, f"{spec.ledger_path}/_SUCCESS"):
+        return 0
+    if not clean:
+        raise TargetConflict(f"a clean-up was interrupted; load with clean=True to finish it by {spec.ledger_path}")
+    left = delete_loaded(spark, spark.read.parquet(spec.ledger_path), f"{work}/finished")
+    deleted = left.where(F.col("outcome") == DELETED).count()
+    remove(spark, spec.ledger_path)
+    return deleted
+
+
 def read_bronze(spark: SparkSession, spec: LoadSpec) -> DataFrameReader:
     """A reader for the spec's bronze tables."""
     return spark.read.format(spec.fmt).schema(spec.bronze_schema)
 
 
-def _refuse_to_drop(path: str, reader: DataFrameReader, counts: DataFrame) -> None:
-    """A batch may overwrite its own earlier run, not rows whose landed files are already gone."""
-    if not exists(counts.sparkSession, path):
-        return
-    existing = reader.load(path).select("SourceFileName").distinct()
-    others = existing.join(counts, "SourceFileName", "left_anti").count()
-    if others:
-        raise TargetConflict(f"{path} holds rows of {others} files outside this batch; load with mode='append'")
+def _digest(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """Per file, by partial sums: how many rows, and a sum of their hashes that does not depend on their order."""
+    values = [c for column in columns for c in (F.col(column), F.col(column).isNull())]
+    total = F.sum(F.xxhash64(*values).cast("decimal(20,0)"))
+    return rows.groupBy("SourceFileName").agg(F.struct(F.count("*").alias("rows"), total.alias("hashes")).alias(name))
+
+
+def _lacking(rows: DataFrame, path: str, reader: DataFrameReader, mode: str, work: str) -> tuple[DataFrame | None, int]:
+    """What to write of ``rows`` to ``path``, and how many of them need no writing as they are there.
+
+    A batch may overwrite its own earlier run, not rows whose landed files are already gone: when the folder holds
+    other files, it stays as it is if it has all of this batch (``None``), and is a ``TargetConflict`` if it lacks any.
+    Appending leaves out files that are there with the same rows; a file there with other rows is a ``TargetConflict``.
+    """
+    spark = rows.sparkSession
+    if mode not in ("overwrite", "append") or not exists(spark, path):
+        return rows, 0
+    own, there = _digest(rows, rows.columns, "own"), _digest(reader.load(path), rows.columns, "there")
+    state = F.when(F.col("own").isNull(), "other").when(F.col("there").isNull(), "new")
+    state = state.when(F.col("own") == F.col("there"), "same").otherwise("differs").alias("state")
+    write_layer(own.join(there, "SourceFileName", "full").select("SourceFileName", "own.rows", state), work)
+    files = spark.read.parquet(work)
+    found = {r["state"]: r for r in files.groupBy("state").agg(F.count("*").alias("files"), F.sum("rows").alias("rows")).collect()}
+    if mode == "overwrite":
+        if "other" not in found:
+            return rows, 0
+        if "new" in found or "differs" in found:
+            others = found["other"]["files"]
+            raise TargetConflict(f"{path} holds rows of {others} files outside this batch; load with mode='append'")
+        return None, 0
+    if "differs" in found:
+        raise TargetConflict(f"{path} holds {found['differs']['files']} files of this batch with other rows")
+    if "same" not in found:
+        return rows, 0
+    return rows.join(files.where("state = 'same'"), "SourceFileName", "left_anti").select(rows.columns), found["same"]["rows"]

@@ -56,5 +56,10 @@ class LoadSpec:
     def rejects_path(self) -> str:
         return self.rejects or f"{self.target.rstrip('/')}_rejects"
 
+    @property
+    def ledger_path(self) -> str:
+        """Names the proven files while a clean-up deletes them."""
+        return f"{self.target.rstrip('/')}_cleaning"
+
     def but(self, **changes) -> LoadSpec:
         return replace(self, **changes)

@@ -56,6 +56,13 @@ def path_in_store(uri: str) -> str:
     return (parts.netloc if parts.scheme in S3_SCHEMES else "") + unquote(parts.path)
 
 
+def same_time(a_ms: int, b_ms: int) -> bool:
+    """Whether two change times agree; where a store gives one in whole seconds, to the second."""
+    if a_ms % 1000 and b_ms % 1000:
+        return a_ms == b_ms
+    return a_ms // 1000 == b_ms // 1000
+
+
 def _deleter(s3: dict):
     def delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         stores: dict[tuple[str, str], fs.FileSystem] = {}
@@ -68,7 +75,7 @@ def _deleter(s3: dict):
             info = stores[key].get_file_info(path)
             if info.type == fs.FileType.NotFound:
                 return GONE
-            if info.mtime_ns // 1_000_000 != loaded_ms:
+            if not same_time(info.mtime_ns // 1_000_000, loaded_ms):
                 return CHANGED
             stores[key].delete_file(path)
             return DELETED

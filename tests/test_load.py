@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import landfall.plans.batch as batch
 from landfall.plans.batch import LoadMismatch, TargetConflict, load_batch, read_bronze
 from landfall.plans.loads import FIELDS, KEEP, loads_spec
-from landfall.sinks.cleanup import delete_loaded
+from landfall.sinks.cleanup import delete_loaded, same_time
 from landfall.sinks.layer import write_layer
 
 RUN_TS = datetime(2024, 1, 15, 10, 30)
@@ -241,3 +241,51 @@ def test_the_xml_is_read_once(spark, spec, monkeypatch):
     plan = batch.expand(seen[0], spec)._jdf.queryExecution().executedPlan().toString()
     assert len(seen) == 1
     assert plan.count("from_xml") == 1 and plan.count("from_json") == 1 and "Exchange" not in plan
+
+
+def test_reload_after_losing_a_landed_file(spark, spec):
+    for name in ("a_b_15012024_10.xml", "a_c_15012024_10.xml"):
+        put(spec.landing, name, response(GOOD, "broken"))
+    first = load_batch(spark, spec, RUN_TS)
+    before = rows(spark.read.parquet(first.path)), rows(spark.read.parquet(first.rejects_path))
+    os.remove(f"{spec.landing}/a_b_15012024_10.xml")
+    second = load_batch(spark, spec, RUN_TS, clean=True)
+    assert (rows(spark.read.parquet(first.path)), rows(spark.read.parquet(first.rejects_path))) == before
+    assert second.deleted == 1 and landed(spec) == []
+
+
+def test_append_writes_no_file_twice(spark, spec):
+    append = spec.but(mode="append")
+    put(spec.landing, "a_b_15012024_10.xml", response(GOOD, "broken"))
+    load_batch(spark, append, RUN_TS)
+    put(spec.landing, "a_c_15012024_10.xml", response(GOOD))
+    result = load_batch(spark, append, RUN_TS)
+    assert spark.read.parquet(result.path).count() == 4 and spark.read.parquet(result.rejects_path).count() == 1
+    put(spec.landing, "a_b_15012024_10.xml", response(GOOD.replace('"A"', "null")))
+    with pytest.raises(TargetConflict):
+        load_batch(spark, append, RUN_TS)
+    assert spark.read.parquet(result.path).count() == 4
+
+
+def test_interrupted_clean_up_is_finished_first(spark, spec, monkeypatch):
+    put(spec.landing, "a_b_15012024_10.xml", response(GOOD))
+    put(spec.landing, "a_b_15012024_11.xml", response(GOOD))
+
+    def lost(*args):
+        os.remove(f"{spec.landing}/a_b_15012024_11.xml")
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(batch, "delete_loaded", lost)
+        with pytest.raises(OSError):
+            load_batch(spark, spec, RUN_TS, clean=True)
+    with pytest.raises(TargetConflict):
+        load_batch(spark, spec, RUN_TS)
+    result = load_batch(spark, spec, RUN_TS, clean=True)
+    assert (result.deleted, result.path, landed(spec)) == (1, "", [])
+    assert os.listdir(spec.target) == ["listaCargas-15012024-11.parquet"] and not os.path.exists(spec.ledger_path)
+
+
+@pytest.mark.parametrize("a, b, same", [(5000, 5999, True), (5001, 5001, True), (5001, 5002, False), (5000, 6000, False), (5999, 6000, False)])
+def test_change_times_by_their_precision(a, b, same):
+    assert same_time(a, b) == same_time(b, a) == same
