@@ -530,6 +530,35 @@ def landing_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    with years as (select strftime(o_orderdate, '%Y') as file_date, o_orderstatus from orders)
+    select file_date, count(*) as loaded,
+           count(*) filter (o_orderstatus = 'P' or file_date = (select max(file_date) from years)) as cleaned
+    from years group by 1
+    """
+)
+def reload_after_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch loads, loses landed files as to a broken clean-up, and loads again: bronze stays, the rest is cleaned."""
+    landing, records = work_folder(spark, "landing"), order_records(spark, sf_dir)
+    write_landing(records.where("o_orderstatus <> 'P'"), landing, prefix="lost")
+    write_landing(records.where("o_orderstatus = 'P'"), landing, prefix="left")
+    spec = loads_spec(landing, work_folder(spark, "bronze"), "erp")
+    first = load_batch(spark, spec, RUN_TS)
+    last = F.split_part(F.lit(first.path.rsplit("/", 1)[-1]), F.lit("-"), F.lit(2))
+    name = file_name("SourceFileName")
+    early = first.files.where(name.startswith("lost") & (name_token(name, 2) < last))
+    delete_loaded(spark, early, work_folder(spark, "lost"))
+    second = load_batch(spark, spec, RUN_TS, clean=True)
+
+    def per_date(df: DataFrame, rows: Column, name: str) -> DataFrame:
+        return with_file_tokens(df).groupBy("file_date").agg(F.sum(rows).alias(name))
+
+    cleaned = per_date(second.files.where("outcome = 'deleted'"), F.col("records"), "cleaned")
+    joined = per_date(spark.read.parquet(first.path), F.lit(1), "loaded").join(cleaned, "file_date", "left")
+    return joined.withColumn("cleaned", F.coalesce("cleaned", F.lit(0).cast("long")))
+
+
 @query(
     """
     select case when o_orderstatus = 'P' then 'bad_file_name' else 'loaded' end as disposition,
