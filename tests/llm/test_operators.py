@@ -72,6 +72,20 @@ def test_filter_never_misses():
     assert (form.probe(other) > 0).mean() < 0.05
 
 
+def test_lm_filters_follow_the_corpus(spark, work):
+    for n in (10**6, 10**8, 5 * 10**9):  # a fixed load, so false hits stay as rare
+        assert all(f.segments * f.segment_bits >= 8 * n for f in lm_scoring.filters(n, n))
+    model = lm_scoring.Model(1000, 10, np.full(256, 0.1)).open()
+    assert all(counts.max() <= 1000 for counts in model._of.values())
+    docs, training = table(spark, "documents").select("doc_id", "text"), fold(F.col("doc_id"), 7) != 2
+    whole = {r.doc_id: r for r in lm_scoring.score(work, docs, training).collect()}
+    cut = {r.doc_id: r for r in lm_scoring.score(work, docs, training, chunk_tokens=3000, segment_tokens=5000).collect()}
+    assert whole.keys() == cut.keys() and len(whole) == docs.count()
+    for d, row in whole.items():  # the same up to false hits
+        assert cut[d][:4] == row[:4] and cut[d].base_score == pytest.approx(row.base_score, rel=1e-9)
+        assert cut[d].score == pytest.approx(row.score, rel=0.02)
+
+
 def test_lm_odd_rows(work, docs):
     found = lm_scoring.score(work, docs, F.col("doc_id") == 1).collect()
     assert sorted(r.n_tokens for r in found) == [1, 1, 4, 8, 8, 60_001]
