@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from landfall.llm.common import Work, components, share
 
+#: How the hashes of a signature are cut into bands, unless asked otherwise.
 BANDS, ROWS = 24, 5
+HASHES = BANDS * ROWS
 #: Hashes compared at a time; a pair may be given up after each batch.
 BATCH = 24
 
@@ -61,7 +63,7 @@ def signature(items: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.ndarra
     return least.astype("<u4")
 
 
-def least_matches(threshold: float, miss: float, total: int = BANDS * ROWS, batch: int = BATCH) -> list[tuple[int, int]]:
+def least_matches(threshold: float, miss: float, total: int = HASHES, batch: int = BATCH) -> list[tuple[int, int]]:
     """``(n, m)`` per batch: with fewer than m matches among the first n hashes, P(similarity >= threshold) < ``miss``.
 
     The prior is uniform, so the posterior after m of n matches is Beta(m + 1, n - m + 1), and its upper tail at t
@@ -92,7 +94,7 @@ def signed(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, set_hash, sig)`` per row; equal sets have equal ``set_hash`` (128 bits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (mult, add) = WordHashes(), permutations(BANDS * ROWS)
+        hashes, (mult, add) = WordHashes(), permutations(HASHES)
         for batch in batches:
             sizes, marks, sigs = [], [], []
             for text in batch["text"]:
@@ -107,15 +109,15 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def banded(reps: DataFrame) -> DataFrame:
+def banded(reps: DataFrame, bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
     """``(bucket, id)``: one row per representative and band; the bucket hashes the band's number and its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = 4 * ROWS
+        width = 4 * band_rows
         for batch in batches:
-            ids = np.repeat(batch["id"].to_numpy(zero_copy_only=False), BANDS)
+            ids = np.repeat(batch["id"].to_numpy(zero_copy_only=False), bands)
             cuts = [
-                xxhash.xxh3_64_intdigest(sig[b * width : (b + 1) * width], seed=b) for sig in batch["sig"].to_pylist() for b in range(BANDS)
+                xxhash.xxh3_64_intdigest(sig[b * width : (b + 1) * width], seed=b) for sig in batch["sig"].to_pylist() for b in range(bands)
             ]
             arrays = [pa.array(np.array(cuts, np.uint64).view(np.int64)), pa.array(ids.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "id"])
@@ -128,7 +130,7 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float, miss: float) ->
     bounds = least_matches(threshold, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = lambda column: np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, BANDS * ROWS)
+        read = lambda column: np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, HASHES)
         for batch in batches:
             if batch.num_rows:
                 yield batch.select(["a", "b"]).take(pa.array(survivors(read(batch["sig_a"]), read(batch["sig_b"]), bounds)))
@@ -242,14 +244,22 @@ def joined_in_buckets(rows: DataFrame, percent: int, miss: float) -> DataFrame:
 
 
 def near_duplicates(
-    work: Work, docs: DataFrame, percent: int = 85, miss: float = 1e-6, block_rows: int = 512, block_bytes: int = 32_000_000
+    work: Work,
+    docs: DataFrame,
+    percent: int = 85,
+    miss: float = 1e-6,
+    block_rows: int = 512,
+    block_bytes: int = 32_000_000,
+    bands: int = BANDS,
+    band_rows: int = ROWS,
 ) -> DataFrame:
     """Per row of ``docs (doc_id, text)``: ``doc_id, n_shingles, component_id, kept``.
 
     Two documents are linked when 100 * |A & B| >= percent * |A | B| for their sets of 5-word shingles.
 
     1. Equal sets form a class, represented by its smallest id; only representatives go on.
-    2. 24 bands of 5 MinHash rows put representatives into buckets. A pair at 0.85 misses all with odds 7e-7.
+    2. ``bands`` bands of ``band_rows`` MinHash rows (of 120 in all) put representatives into buckets. With the 24 of 5 a pair at 0.85
+       misses all with odds 7e-7; at a lower ``percent`` ask for more bands of fewer rows.
     3. Each member is paired with its bucket's smallest id, one row a member. Signatures are compared in batches of 24
        hashes; a pair is given up when the posterior odds of reaching the threshold fall below ``miss``. Survivors are verified
        on their full sets, and verified links joined into parts.
@@ -263,6 +273,8 @@ def near_duplicates(
     rows of one id are one document: they share a component and are all marked alike; rows of one id with different texts
     are joined by their id. An empty table gives no rows.
     """
+    if bands * band_rows > HASHES:
+        raise ValueError(f"{bands} bands of {band_rows} need more than the {HASHES} hashes of a signature")
     rows = work.keep(signed(docs), "signed")
     known = rows.filter("set_hash is not null and doc_id is not null")
     best = F.min(F.struct("doc_id", "sig")).alias("best")
@@ -270,7 +282,7 @@ def near_duplicates(
     reps = work.keep(reps, "reps")
     rows_slim = work.keep(rows.select("doc_id", "n_shingles", "set_hash"), "rows")
     work.drop(rows)
-    buckets = banded(reps)
+    buckets = banded(reps, bands, band_rows)
     full = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("bucket", "first")
     shared = work.keep(buckets.join(full, "bucket"), "buckets")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id is not null")

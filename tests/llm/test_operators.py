@@ -420,3 +420,20 @@ def test_pipeline_stages(spark, work):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert packed.agg(F.sum("length")).first()[0] == packed.filter("start = 0").agg(F.sum("doc_tokens")).first()[0]
     assert packed.filter("start = 0").count() == docs.count()
+
+
+def test_pipeline_drops_pairs_from_eighty_percent(spark):
+    random.seed(6)
+    rows, pairs = [], {}
+    for i in range(0, 400, 2):  # pairs of texts with one to four words replaced apart from each other
+        words = [f"w{i}x{j}" for j in range(random.randint(60, 200))]
+        other = list(words)
+        for k in range(random.randint(1, 4)):
+            other[5 + 10 * k] = f"y{i}x{k}"
+        a, b = shingle_set(" ".join(words)), shingle_set(" ".join(other))
+        rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
+        pairs[i + 1] = len(a & b) / len(a | b)
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], FULL)
+    found = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()}
+    assert found == {i for i in range(0, 400, 2)} | {i for i, s in pairs.items() if s < 0.8}
+    assert any(0.8 <= s < 0.85 for s in pairs.values()) and any(s < 0.8 for s in pairs.values())
