@@ -205,7 +205,10 @@ def linked(work: Work, points: DataFrame, least: float, block_rows: int, degree:
 
 
 def audited(points: DataFrame, found: DataFrame, least: float, sample: int) -> float:
-    """Recall of the links of ``sample`` vectors (smallest hashes of ids) against comparing them with all vectors."""
+    """Mean recall of links per vector, of those among ``sample`` vectors (smallest hashes of ids) that have any when compared with all.
+
+    Every such vector counts alike, so a large group does not hide the loss of isolated pairs.
+    """
     asked = points.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "embedding").toPandas()
     if not len(asked):
         return 1.0
@@ -220,8 +223,9 @@ def audited(points: DataFrame, found: DataFrame, least: float, sample: int) -> f
                 yield pd.DataFrame({"id": ids, "true": hit @ rows["copies"].to_numpy()})
 
     true = points.select("id", "copies", "embedding").mapInPandas(run, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    row = true.join(found, "id", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0))))).first()
-    return row[1] / row[0] if row[0] else 1.0
+    part = F.least("true", F.coalesce("links", F.lit(0))) / F.col("true")
+    recall = true.filter(F.col("true") > 0).join(found, "id", "left").agg(F.avg(part)).first()[0]
+    return 1.0 if recall is None else recall
 
 
 def near_duplicates(
@@ -252,7 +256,8 @@ def near_duplicates(
 
     ``n_links`` counts linked vectors, copies included. A pair in several shards is counted in its first common one. Tasks send
     counts and, per vector, the smallest id it reaches there, never pairs. Recall is audited against all vectors
-    for ``audit_rows`` of them; below ``target`` the graph is rebuilt once with twice the overlap. ``recall`` is the last audit's value.
+    for ``audit_rows`` of them, each alike; below ``target`` the graph is rebuilt with twice the overlap, until it is met. If it is
+    not met with all shards either, an error is raised. ``recall`` is the last audit's value.
 
     Vectors of another dimension than the most frequent one are not comparable and raise an error. No vectors give no rows.
     """
@@ -263,14 +268,17 @@ def near_duplicates(
     sample = reps.select("id", "embedding").orderBy(F.xxhash64("id"), "id").limit(sample_rows).toPandas()
     shards = max(1, min(max_shards, -(-n // shard_rows)))
     centers = centroids(unit(matrix(sample["embedding"])), shards) if n else np.empty((0, 0))
-    recall = 1.0
-    for wider in (1, 2):
-        points = work.keep(sharded(reps, centers, min(shards, overlap * wider)), "points")
+    while True:
+        points = work.keep(sharded(reps, centers, min(shards, overlap)), "points")
         found = work.keep(linked(work, points, least, block_rows, degree, pool, alpha, slack, beam), "links")
         links = found.groupBy("id").agg(F.sum("links").alias("links"))
         recall = audited(points, links, least, audit_rows)
-        if recall >= target or overlap * wider >= shards:
+        if recall >= target:
             break
+        if overlap >= shards:
+            raise RuntimeError(f"recall of links is {recall:.3f} with all {shards} shards; {target} is asked for")
+        work.drop(points, found)
+        overlap *= 2
     edges = found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     parts = components(work, edges)
     named = reps.select("id", "copies").join(links, "id", "left").join(parts, "id", "left")

@@ -59,7 +59,7 @@ def url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors without a usable value link with nothing; they are returned as their own components."""
+    """Vectors without a usable value link with nothing; they are returned as their own components. Their ``recall`` is null."""
     work, rows = Work(spark, "op6"), table(spark, sf_dir, "embeddings")
     found = graph_dedup.near_duplicates(work, work.keep(usable(rows), "vectors"), least=0.9)
     found = found.withColumnRenamed("vec_id", "_id")
@@ -67,7 +67,7 @@ def graph_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     component = F.coalesce("component_id", "vec_id")
     return joined.select(
         "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"),
-        F.col("vec_id").eqNullSafe(component).alias("kept"),
+        F.col("vec_id").eqNullSafe(component).alias("kept"), "recall",
     )
 
 

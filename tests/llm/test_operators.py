@@ -248,6 +248,19 @@ def test_graph_against_brute_force(spark, work):
     assert same > 0.95 and next(iter(found.values())).recall >= 0.9
 
 
+def test_graph_audit_counts_vectors_alike(spark, work):
+    random.seed(5)
+    axis = lambda i: [float(k == i) for k in range(12)]
+    rows = [(i, 1, axis(0)) for i in range(20)] + [(100 + i, 1, axis(1 + i // 2)) for i in range(20)]
+    points = spark.createDataFrame(rows, "id long, copies long, embedding array<double>")
+    # All links of the group are found, none of the ten pairs.
+    found = spark.createDataFrame([(i, 19) for i in range(20)], "id long, links long")
+    assert graph_dedup.audited(points, found, 0.9, 200) == pytest.approx(0.5)
+    with pytest.raises(RuntimeError, match="recall"):
+        graph_dedup.near_duplicates(work, points.selectExpr("id as vec_id", "embedding"), target=1.5)
+    assert "recall" in QUERIES["op6_embedding_dedup"](spark, SF).columns
+
+
 def test_graph_odd_rows(spark, work):
     vectors = usable(odd_vectors(spark))
     found = sorted(tuple(r)[:3] for r in graph_dedup.near_duplicates(work, vectors).collect())
