@@ -9,8 +9,6 @@ sys.path.insert(0, ROOT)
 
 from landfall.session import session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -29,31 +27,3 @@ def spark():
 def folder():
     """A new empty folder."""
     return tempfile.mkdtemp(prefix="run-")
-
-
-def put(folder, name, text):
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, name)
-    with open(path, "w", encoding="utf-8") as out:
-        out.write(text)
-    return path
-
-
-def response(*payloads):
-    """A landed document; ``None`` leaves the payload element out."""
-    rows = "".join(
-        "<ns1:listaCargasResponse><status xsi:type=\"xsd:int\">1</status>"
-        + ("" if p is None else f'<resParam xsi:type="xsd:string">{p}</resParam>')
-        + "</ns1:listaCargasResponse>\n"
-        for p in payloads
-    )
-    return (
-        '<env:Envelope xmlns:env="http://e" xmlns:ns1="urn:x" '
-        f'xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"><env:Body>\n{rows}</env:Body></env:Envelope>\n'
-    )
-
-
-def rows(df, *columns):
-    """The rows as a sorted list of tuples, so that frames compare as multisets."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda t: tuple((v is not None, str(v)) for v in t))

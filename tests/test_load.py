@@ -2,7 +2,7 @@ import os
 from datetime import datetime
 
 import pytest
-from conftest import put, response, rows
+from landed import put, response, rows
 from pyspark.sql import functions as F
 
 import landfall.plans.batch as batch

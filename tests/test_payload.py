@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from landed import rows
 
 from landfall.functions.payload import parse_payload, string_record
 from landfall.operators.columns import strip_prefix

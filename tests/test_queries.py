@@ -1,7 +1,7 @@
 """Every registered query against its SQL on whole tables."""
 
 import pytest
-from conftest import SF
+from landed import SF
 from oracle import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries

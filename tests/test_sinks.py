@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from landed import rows
 
 from landfall.sinks.layer import write_layer
 

@@ -1,7 +1,7 @@
 import os
 from datetime import datetime
 
-from conftest import put, response, rows
+from landed import put, response, rows
 
 from landfall.plans.loads import loads_spec
 from landfall.streaming.incremental import load_stream

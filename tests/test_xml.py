@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import put, response, rows
+from landed import put, response, rows
 from pyspark.sql import functions as F
 
 from landfall.functions.names import file_name
