@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import ann, graph_dedup, langid, line_dedup, lm_scoring, minhash, mixing, packing, toxicity, url_rules
+from landfall.llm import (
+    ann,
+    graph_dedup,
+    langid,
+    line_dedup,
+    lm_scoring,
+    minhash,
+    mixing,
+    packing,
+    substrings,
+    toxicity,
+    url_rules,
+)
 from landfall.llm.common import Work, fold, table
 from landfall.llm.vectors import usable
 
@@ -94,6 +106,13 @@ def langid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs.filter(~F.col("held_out"))), keep=["doc_id", "held_out"])
 
 
+def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substrings.dedup_substrings(Work(spark, "op11"), docs, width=50)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_lm_scoring": lm_scoring_query,
     "op2_toxicity": toxicity_query,
@@ -105,6 +124,7 @@ QUERIES = {
     "op8_line_dedup": line_query,
     "op9_minhash_dedup": minhash_query,
     "op10_language_id": langid_query,
+    "op11_substring_dedup": substring_query,
 }
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
@@ -178,4 +198,23 @@ ORACLES = {
         select d.doc_id, coalesce(n.n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
         from documents d left join n using (doc_id) join c on c.id = d.doc_id
     """,
+    "op11_substring_dedup": r"""
+        with d as (
+            select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents
+        ), n as (
+            select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as h from d, unnest(range(1, len(w) - 48)) as u(i)
+        ), f as (
+            select h, min(doc_id) as first from n group by h having min(doc_id) < max(doc_id)
+        ), g as (
+            select distinct doc_id, i + k as j from n join f using (h), range(50) as r(k) where doc_id > first
+        ), l as (
+            select d.doc_id, i as j, w[i] as word from d, unnest(range(1, len(w) + 1)) as u(i)
+        ), k as (
+            select l.doc_id, count(*) as n_words, count(g.j) as n_removed,
+                   string_agg(word, ' ' order by l.j) filter (g.j is null) as kept
+            from l left join g on g.doc_id = l.doc_id and g.j = l.j group by l.doc_id
+        )
+        select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+        from d left join k using (doc_id)
+    """,
 }
