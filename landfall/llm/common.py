@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,19 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+BLANK = re.compile(rf"[{SPACE}]".encode())
+
+
+def slices(data: bytes, size: int = 2**20) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes, cut at white space; a longer word stays whole."""
+    start = 0
+    while start < len(data):
+        cut = BLANK.search(data, start + size)
+        end = cut.start() if cut else len(data)
+        yield data[start:end]
+        start = end
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did; on a cluster it is installed or shipped as usual."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm import (
     ann,
+    divergence,
     graph_dedup,
     langid,
     line_dedup,
@@ -113,6 +114,10 @@ def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
 
 
+def divergence_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(Work(spark, "op12"), table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 QUERIES = {
     "op1_lm_scoring": lm_scoring_query,
     "op2_toxicity": toxicity_query,
@@ -125,6 +130,7 @@ QUERIES = {
     "op9_minhash_dedup": minhash_query,
     "op10_language_id": langid_query,
     "op11_substring_dedup": substring_query,
+    "op12_source_divergence": divergence_query,
 }
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
@@ -217,4 +223,43 @@ ORACLES = {
         select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
         from d left join k using (doc_id)
     """,
+    "op12_source_divergence": rf"""
+        with d as (
+            select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                   translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as text
+            from documents
+        ), o as (
+            select row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d
+        ), kept as (
+            select lang, term, count(*) as n from o group by 1, 2 having count(distinct row) >= 10
+        ), langs as (
+            select d.lang, count(k.term) as v, coalesce(sum(k.n), 0) as total
+            from (select distinct lang from d) as d left join kept as k using (lang) group by 1
+        ), groups as (
+            select distinct lang, source from d
+        ), c as (
+            select g.lang, g.source, k.term, count(o.term) as n, any_value(k.n) as lang_n
+            from groups as g join kept as k using (lang)
+                left join o on o.lang = g.lang and o.source = g.source and o.term = k.term
+            group by 1, 2, 3
+        ), t as (
+            select lang, source, sum(n) as total from c group by 1, 2
+        ), p as (
+            select lang, source, term, n, 1 + (1000000000::hugeint * (n + 2)) // (t.total + 2 * v) as p,
+                   1 + (1000000000::hugeint * (lang_n + 2)) // (langs.total + 2 * v) as q
+            from c join t using (lang, source) join langs using (lang)
+        ), sums as (
+            select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+            from p as a join p as b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3
+        ), all_parts as (
+            select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sums.value, 0)::bigint as value
+            from groups as a join groups as b on a.lang = b.lang and a.source <> b.source
+                left join sums on sums.lang = a.lang and sums.source = a.source and sums.item = b.source
+            union all
+            select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from p where n > 0 and p > q
+        ), ranked as (
+            select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from all_parts
+        )
+        select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10
+    """,
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from landfall.llm.common import SPACE, Work
+from landfall.llm.common import Work, slices
 
 #: Windows that one task holds while it drops those a smaller document of its own has.
 CHUNK = 2**19
@@ -24,21 +23,10 @@ BROADCAST_IDS = 4_000_000
 #: What a null id counts as: smaller than all others.
 NO_ID = -(2**63)
 
-BLANK = re.compile(rf"[{SPACE}]".encode())
 #: Bases of the two polynomials (any odd numbers).
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
-def pieces(data: bytes, size: int = 2**20) -> Iterator[list[bytes]]:
-    """The words of a text, about ``size`` bytes at a time."""
-    start = 0
-    while start < len(data):
-        cut = BLANK.search(data, start + size)
-        end = cut.start() if cut else len(data)
-        yield data[start:end].split()
-        start = end
-
-
 class Digests(dict):
     """128-bit hashes of words, computed once each; emptied when it grows past ``most`` entries."""
 
@@ -77,7 +65,7 @@ def window_hashes(text: str | None, width: int, digests: Digests) -> tuple[np.nd
     Both come from running sums: the sum up to a window's end less the one up to its start, shifted back by the
     inverse power of the base (which is odd, so it has one).
     """
-    words = [np.frombuffer(b"".join(map(digests.__getitem__, some)), np.uint64).reshape(-1, 2) for some in pieces((text or "").encode())]
+    words = [np.frombuffer(b"".join(map(digests.__getitem__, some)), np.uint64).reshape(-1, 2) for some in map(bytes.split, slices((text or "").encode()))]
     words = np.concatenate(words) if words else np.empty((0, 2), np.uint64)
     n = len(words) - width + 1
     if n <= 0:
@@ -250,7 +238,7 @@ def cut(text: str | None, starts: list[int], ends: list[int]) -> tuple[str | Non
     """The words outside the intervals, joined by one space; how many words there were, and how many go."""
     kept, n, gone = [], 0, 0
     spans = list(zip(starts, ends))
-    for words in pieces((text or "").encode()):
+    for words in map(bytes.split, slices((text or "").encode())):
         stay, at = [], 0
         while spans and spans[0][0] < n + len(words):
             start, end = max(0, spans[0][0] - n), min(len(words), spans[0][1] - n)
