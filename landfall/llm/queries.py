@@ -10,6 +10,7 @@ from landfall.llm import (
     ann,
     divergence,
     graph_dedup,
+    hard_negatives,
     langid,
     line_dedup,
     lm_scoring,
@@ -118,6 +119,14 @@ def divergence_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(Work(spark, "op12"), table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
 
+def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector counts under the next label, of ten."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.mine(Work(spark, "op13"), rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_lm_scoring": lm_scoring_query,
     "op2_toxicity": toxicity_query,
@@ -131,6 +140,7 @@ QUERIES = {
     "op10_language_id": langid_query,
     "op11_substring_dedup": substring_query,
     "op12_source_divergence": divergence_query,
+    "op13_hard_negatives": hard_negatives_query,
 }
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
@@ -262,4 +272,25 @@ ORACLES = {
         )
         select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10
     """,
+    "op13_hard_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding::double[], lambda x: floor(256 * x)) as q
+            from embeddings
+            where label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), s as (
+            select a.vec_id as anchor_id, b.vec_id, b.label = a.label as same, list_dot_product(a.q, b.q)::bigint as score
+            from v as a join v as b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+        ), p as (
+            select anchor_id, vec_id as positive_id, score as positive_score from s where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        ), n as (
+            select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+                   row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank
+            from p join s using (anchor_id)
+            where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        )
+        select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 3
+    """,
 }
