@@ -15,9 +15,9 @@ from pyspark.sql.types import LongType
 from landfall.llm.common import Work, slices
 
 #: Windows that one task holds while it drops those a smaller document of its own has.
-CHUNK = 2**19
+CHUNK = 2**18
 #: Windows of a segment, at the most for texts of one-letter words.
-SEGMENT = 2**23
+SEGMENT = 2**22
 #: Document ids that may be broadcast (some 100 MB on an executor); beyond, whole texts are joined.
 BROADCAST_IDS = 4_000_000
 #: What a null id counts as: smaller than all others.
