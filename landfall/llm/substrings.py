@@ -256,23 +256,25 @@ def cut(text: str | None, starts: list[int], ends: list[int]) -> tuple[str | Non
 
 
 def removed(joined: DataFrame, columns: list[str]) -> DataFrame:
-    """The texts of rows with ``_starts`` and ``_ends`` (null: none) less those words."""
+    """The texts of rows with ``_span_starts`` and ``_span_ends`` (null: none) less those words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [
                 cut(text.as_py(), starts or [], ends or [])
-                for text, starts, ends in zip(batch["text"], batch["_starts"].to_pylist(), batch["_ends"].to_pylist())
+                for text, starts, ends in zip(batch["text"], batch["_span_starts"].to_pylist(), batch["_span_ends"].to_pylist())
             ]
             arrays = [pa.array([d[0] for d in done], batch.schema.field("text").type) if c == "text" else batch[c] for c in columns]
             arrays += [pa.array([d[i] for d in done], pa.int64()) for i in (1, 2)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "n_words", "n_removed"])
 
     schema = joined.select(*columns).schema.add("n_words", LongType()).add("n_removed", LongType())
-    return joined.select(*columns, "_starts", "_ends").mapInArrow(run, schema)
+    return joined.select(*columns, "_span_starts", "_span_ends").mapInArrow(run, schema)
 
 
-def dedup_substrings(work: Work, docs: DataFrame, width: int = 50, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+def dedup_substrings(
+    work: Work, docs: DataFrame, width: int = 50, broadcast_ids: int = BROADCAST_IDS, sizes: Sizes | None = None
+) -> DataFrame:
     """Every row of ``docs`` with its text less repeated passages, ``n_words`` and ``n_removed``.
 
     Words are runs without ASCII white space, unchanged. A window is ``width`` words in a row of one document. A window
@@ -299,17 +301,17 @@ def dedup_substrings(work: Work, docs: DataFrame, width: int = 50, broadcast_ids
     total = by_id.agg(F.sum("letters").alias("letters"), F.max(F.col("low") != F.col("high")).alias("several")).first()
     # Only rows of one id with different texts need to be told apart by a hash of the text.
     variant = F.xxhash64("text") if total["several"] else F.lit(0).cast("long")
-    sizes = Sizes((total["letters"] or 0) // 2 + 1)
+    sizes = sizes or Sizes((total["letters"] or 0) // 2 + 1)
     windows = blocks(ids.select("doc_id", variant.alias("variant"), "text"), width, sizes)
     spans = work.keep(intervals(repeated(windows, sizes), width), "intervals")
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("variant").alias("_variant"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"))
+    spans = spans.select(F.col("doc_id").alias("_span_id"), F.col("variant").alias("_span_variant"), F.col("starts").alias("_span_starts"), F.col("ends").alias("_span_ends"))
 
-    keyed = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_own": variant})
-    on = (F.col("_key") == F.col("_id")) & (F.col("_own") == F.col("_variant"))
+    keyed = docs.withColumns({"_span_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_span_own": variant})
+    on = (F.col("_span_key") == F.col("_span_id")) & (F.col("_span_own") == F.col("_span_variant"))
     if spans.count() > broadcast_ids:
         return removed(keyed.join(spans, on, "left"), columns)
-    losers = F.broadcast(spans.select(F.col("_id").alias("_loser")).distinct())
-    some = keyed.join(losers, F.col("_key") == F.col("_loser"), "left_semi").join(spans, on, "left")
-    none = keyed.join(losers, F.col("_key") == F.col("_loser"), "left_anti")
-    none = none.withColumns({c: F.lit(None).cast("array<int>") for c in ("_starts", "_ends")})
-    return removed(some.select(*columns, "_starts", "_ends").union(none.select(*columns, "_starts", "_ends")), columns)
+    losers = F.broadcast(spans.select(F.col("_span_id").alias("_span_loser")).distinct())
+    some = keyed.join(losers, F.col("_span_key") == F.col("_span_loser"), "left_semi").join(spans, on, "left")
+    none = keyed.join(losers, F.col("_span_key") == F.col("_span_loser"), "left_anti")
+    none = none.withColumns({c: F.lit(None).cast("array<int>") for c in ("_span_starts", "_span_ends")})
+    return removed(some.select(*columns, "_span_starts", "_span_ends").union(none.select(*columns, "_span_starts", "_span_ends")), columns)
