@@ -13,6 +13,8 @@ EMPTY = "empty"
 CORRUPT_XML = "corrupt_xml"
 BAD_FILE_NAME = "bad_file_name"
 
+BLANK = r"[ \t\n\r]"  # what JSON counts as white space
+
 
 def string_record(fields: Iterable[str]) -> T.StructType:
     """A record whose fields are all nullable text: numbers and dates arrive as text and stay text."""
@@ -27,18 +29,20 @@ def parse_payload(payload: Column | str, record: T.StructType, mode: str = "PERM
     own, where anything that follows breaks the JSON or counts as one more value: either way the result is null.
     """
     payload = F.col(payload) if isinstance(payload, str) else payload
-    text = F.trim(payload, F.lit(" \t\n\r"))
-    listed = text.startswith("[") | (text == "null")
-    inside = F.when(text == "", text).when(listed, F.concat(F.lit("["), text, F.lit("]")))
-    inside = inside.otherwise(F.concat(F.lit("[["), text, F.lit("]]")))
+    # Nearly every payload shows in its first byte which it is; others cost a look at their leading blanks.
+    odd = ~payload.startswith("{")
+    listed = payload.startswith("[") | (odd & payload.rlike(rf"\A{BLANK}*(?:\[|null{BLANK}*\z)"))
+    blank = odd & payload.rlike(rf"\A{BLANK}*\z")
+    inside = F.when(listed, F.concat(F.lit("["), payload, F.lit("]"))).when(blank, payload)
+    inside = inside.otherwise(F.concat(F.lit("[["), payload, F.lit("]]")))
     values = F.from_json(inside, T.ArrayType(T.ArrayType(record)), {"mode": mode})
 
     def only(found: Column) -> Column:
-        first = F.get(found, 0)
-        return F.when((F.size(found) == 1) & (listed | (F.size(first) == 1)), first)
+        first = F.get(found["values"], 0)
+        return F.when((F.size(found["values"]) == 1) & (found["listed"] | (F.size(first) == 1)), first)
 
     # Through a lambda, so that the text is parsed once however often its value is looked at.
-    return F.get(F.transform(F.array(values), only), 0)
+    return F.get(F.transform(F.array(F.struct(values.alias("values"), listed.alias("listed"))), only), 0)
 
 
 def reject_reason(payload: Column, parsed: Column) -> Column:
