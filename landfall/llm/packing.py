@@ -68,12 +68,25 @@ class Encoder:
 
             special = {t["content"]: t["id"] for t in spec["added_tokens"]}
             plain = tiktoken.Encoding(os.path.basename(path), pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens=special)
-            self._ids = partial(plain.encode_to_numpy, allowed_special="all")
+            self._plain = partial(plain.encode_to_numpy, allowed_special="all")
         else:
+            self._plain = None
+        self._path, self._loaded = path, None
+
+    def _whole(self, text: str) -> list[int]:
+        if self._loaded is None:
             from tokenizers import Tokenizer
 
-            whole = Tokenizer.from_file(path)
-            self._ids = lambda text: whole.encode(text, add_special_tokens=False).ids
+            self._loaded = Tokenizer.from_file(self._path)
+        return self._loaded.encode(text, add_special_tokens=False).ids
+
+    def _ids(self, text: str) -> np.ndarray | list[int]:
+        if self._plain is None:
+            return self._whole(text)
+        try:
+            return self._plain(text)
+        except ValueError:  # its pattern gives up on about a million blanks in a row; the other library gives the same ids
+            return self._whole(text)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         return [np.array(self._ids(text or ""), "<u4") for text in texts]
