@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import Work, components, share
+from landfall.llm.common import Work, components
 
 #: How the hashes of a signature are cut into bands, unless asked otherwise.
 BANDS, ROWS = 24, 5
@@ -141,49 +141,22 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float, miss: float) ->
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-#: Bits and parts of the filter that picks texts whose sets are needed; its size does not depend on the input.
-FILTER_BITS, FILTER_PARTS = 2**26, 256
+#: Ids that may be broadcast to pick the texts whose sets are needed (some 100 MB on an executor); beyond, texts are joined.
+BROADCAST_IDS = 4_000_000
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter (8 MB) of ``ids (id)``, built part by part. False hits only cost time."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        flags = np.zeros(FILTER_BITS // FILTER_PARTS, bool)
-        for place in filter_places(rows["h"].to_numpy()):
-            flags[place] = True
-        return pd.DataFrame({"part": rows["part"].iloc[:1], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
-
-    h = F.xxhash64("id")
-    small = ids.select(F.pmod(h, F.lit(FILTER_PARTS)).cast("int").alias("part"), h.alias("h"))
-    whole = np.zeros(FILTER_BITS // 8, np.uint8).reshape(FILTER_PARTS, -1)
-    for row in small.groupBy("part").applyInPandas(run, "part int, bits binary").collect():  # the filter itself, 8 MB
-        whole[row["part"]] = np.frombuffer(row["bits"], np.uint8)
-    return whole
-
-
-def filter_places(h: np.ndarray) -> Iterator[np.ndarray]:
-    h = h.view(np.uint64)
-    for shift in (12, 26, 40):
-        yield (h >> np.uint64(shift)) % np.uint64(FILTER_BITS // FILTER_PARTS)
-
-
-def item_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """``(id, items)``: sorted shingle hashes as bytes, of the rows whose id the filter holds."""
-    shared = share(docs.sparkSession, wanted)
+def item_sets(docs: DataFrame, wanted: DataFrame, broadcast_ids: int) -> DataFrame:
+    """``(id, set_hash, items)``: sorted shingle hashes as bytes, of the rows of ``docs (id, text)`` whose id is ``wanted``."""
+    wanted = F.broadcast(wanted) if wanted.count() <= broadcast_ids else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bits = WordHashes(), shared.value
+        hashes = WordHashes()
         for batch in batches:
-            h = batch["h"].to_numpy()
-            part, hit = h % FILTER_PARTS, np.ones(len(h), bool)
-            for place in filter_places(h):
-                hit &= (bits[part, place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            batch = batch.filter(pa.array(hit))
-            items = pa.array([shingles(t.as_py(), hashes).tobytes() for t in batch["text"]], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["id"], items], names=["id", "items"])
+            items = [shingles(t.as_py(), hashes).tobytes() for t in batch["text"]]
+            marks = pa.array([xxhash.xxh3_128_digest(i) for i in items], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["id"], marks, pa.array(items, pa.binary())], names=["id", "set_hash", "items"])
 
-    return docs.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(run, "id bigint, items binary")
+    return docs.join(wanted, "id", "left_semi").mapInArrow(run, "id bigint, set_hash binary, items binary")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -208,6 +181,13 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "items_a", "items_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def one_document(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the representatives of different sets that rows of one id have."""
+    classes = rows.select("doc_id", "set_hash").join(reps.select("set_hash", "id"), "set_hash")
+    several = classes.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("doc_id", "a")
+    return classes.join(several, "doc_id").filter("a < id").select("a", F.col("id").alias("b")).distinct()
+
+
 def joined_in_buckets(rows: DataFrame, percent: int, miss: float) -> DataFrame:
     """Links ``(a, b)`` that join different parts within a group of ``(bucket, i, j, block, id, part, sig, items)``.
 
@@ -252,6 +232,7 @@ def near_duplicates(
     block_bytes: int = 32_000_000,
     bands: int = BANDS,
     band_rows: int = ROWS,
+    broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """Per row of ``docs (doc_id, text)``: ``doc_id, n_shingles, component_id, kept``.
 
@@ -268,10 +249,11 @@ def near_duplicates(
        part. Only links leave a task, fewer than it has members. So every two members of a bucket have been compared
        or are linked through others, whatever the bucket's size, and components are those of comparing all pairs.
 
-    ``component_id`` is the smallest id reachable by links, ``kept`` marks the row that has it. Rows without words have no
-    shingles and link with nothing, nor do rows with a null id (their component is null, and they are kept). Repeated
-    rows of one id are one document: they share a component and are all marked alike; rows of one id with different texts
-    are joined by their id. An empty table gives no rows.
+    Sets are built for ids in shared buckets only, picked by broadcast ids while they number at most ``broadcast_ids``, else by
+    a join. ``component_id`` is the smallest id reachable by links, ``kept`` marks the row that has it. Rows without words
+    have no shingles and link with nothing, nor do rows with a null id (their component is null, and they are kept). Rows of
+    one id are one document, which links with all that any of its texts links with: they share a component and are marked
+    alike. An empty table gives no rows.
     """
     if bands * band_rows > HASHES:
         raise ValueError(f"{bands} bands of {band_rows} need more than the {HASHES} hashes of a signature")
@@ -282,16 +264,18 @@ def near_duplicates(
     reps = work.keep(reps, "reps")
     rows_slim = work.keep(rows.select("doc_id", "n_shingles", "set_hash"), "rows")
     work.drop(rows)
+    slim = rows_slim.filter("set_hash is not null and doc_id is not null")
     buckets = banded(reps, bands, band_rows)
     full = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("bucket", "first")
     shared = work.keep(buckets.join(full, "bucket"), "buckets")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id is not null")
-    wanted = id_filter(shared.select("id").distinct())
-    sets = work.keep(item_sets(texts, wanted), "sets").dropDuplicates(["id"])
+    wanted = work.keep(shared.select("id").distinct(), "wanted")
+    sets = work.keep(item_sets(texts, wanted, broadcast_ids), "sets").dropDuplicates(["id", "set_hash"]).drop("set_hash")
 
     others = shared.filter("id <> first")
     pairs = work.keep(others.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    links = work.keep(linked(work.keep(likely(pairs, reps, percent / 100, miss), "likely"), sets, percent), "links")
+    links = linked(work.keep(likely(pairs, reps, percent / 100, miss), "likely"), sets, percent).union(one_document(slim, reps))
+    links = work.keep(links.distinct(), "links")
     parts = components(work, links)
     placed = others.join(parts, "id", "left").select("bucket", "id", F.coalesce("component_id", "id").alias("part"))
     open_rows = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
@@ -310,5 +294,6 @@ def near_duplicates(
     work.drop(loaded)
     classes = reps.select("set_hash", "id").join(parts, "id", "left").select("set_hash", F.coalesce("component_id", "id").alias("_part"))
     own = rows_slim.join(classes, "set_hash", "left")
-    found = own.select("doc_id", "n_shingles", F.coalesce("_part", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_part", "doc_id")).alias("component_id")
+    found = own.select("doc_id", "n_shingles", component)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

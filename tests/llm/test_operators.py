@@ -330,6 +330,18 @@ def test_encoder_gives_the_ids_of_tokenizers(spark, name):
     assert [i.tolist() for i in own.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_very_long_white_space(spark, work, blank):
+    from tokenizers import Tokenizer
+
+    whole, run = Tokenizer.from_file(tokenizer()), blank * 2_000_000
+    texts = {1: f"{run}led", 2: f"in{run}side", 3: f"trail{run}", 4: run, 5: "plain"}
+    packed = packing.pack(work, spark.createDataFrame(list(texts.items()), "doc_id long, text string"), tokenizer()).collect()
+    for doc, text in texts.items():
+        own = [np.frombuffer(r.ids, "<u4") for r in sorted((r for r in packed if r.doc_id == doc), key=lambda r: r.start)]
+        assert np.concatenate(own).tolist() == whole.encode(text, add_special_tokens=False).ids + [0]
+
+
 # 8: line dedup
 
 
@@ -384,6 +396,25 @@ def test_minhash_odd_rows(work, docs):
     assert minhash.near_duplicates(work, none(docs)).collect() == []
 
 
+def test_minhash_rows_of_one_id_are_one_document(spark, work):
+    words = [f"w{i}" for i in range(120)]
+    near = " ".join([*words[:60], "x", *words[61:]])
+    other, third = " ".join(f"v{i}" for i in range(90)), " ".join(f"u{i}" for i in range(90))
+    rows = [(7, " ".join(words)), (5, other), (5, near), (5, third), (2, third), (9, other), (None, other), (11, "alone here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for most in (100, 0):
+        found = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(work, frame, broadcast_ids=most).collect()}
+        assert found == {(7, 2, False), (5, 2, False), (2, 2, True), (9, 2, False), (None, None, True), (11, 11, True)}
+
+
+def test_pipeline_keeps_one_row_of_each_document(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text), (1, text), (1, text + " more"), (2, text), (3, "other text"), (3, "other text"), (None, "no id"), (None, "no id"), (None, text)]
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], FULL)
+    left = corpus_pipeline.drop_near_copies(spark, docs, SF).collect()
+    assert sorted(((r.doc_id, r.text if r.doc_id != 1 else "") for r in left), key=str) == sorted([(1, ""), (3, "other text"), (None, "no id"), (None, text)], key=str)
+
+
 # 10: language
 
 
@@ -442,7 +473,7 @@ def test_pipeline_stages(spark, work):
             assert after.count() == docs.count() and all(left[k] == 1 for k, n in keys.items() if n >= 5)
         if name == "minhash_dedup":
             sets = [s for s in (shingle_set(r.text) for r in after.collect()) if s]
-            assert not any(100 * len(a & b) >= 85 * len(a | b) for a, b in itertools.combinations(sets, 2))
+            assert not any(100 * len(a & b) >= 80 * len(a | b) for a, b in itertools.combinations(sets, 2))
         docs = after
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert packed.agg(F.sum("length")).first()[0] == packed.filter("start = 0").agg(F.sum("doc_tokens")).first()[0]
