@@ -47,12 +47,12 @@ class LoadResult:
     files: DataFrame | None
 
 
-def scan(spark: SparkSession, spec: LoadSpec, stream: bool = False, **options: str) -> DataFrame:
+def scan(spark: SparkSession, spec: LoadSpec, stream: bool = False, work: str = "", **options: str) -> DataFrame:
     """The landed payloads with their source file and, for broken elements, the element's text."""
     schema = f"`{spec.payload}` string, {CORRUPT} string"
     options = {**spec.read_options, **options}
     return read_xml(
-        spark, spec.landing, spec.row_tag, schema, splittable=spec.splittable, stream=stream, **options
+        spark, spec.landing, spec.row_tag, schema, splittable=spec.splittable, stream=stream, work=work, **options
     )
 
 
@@ -157,7 +157,7 @@ def load_batch(
     listing = list_files(spark, spec.landing, **spec.read_options) if report_unread else None
     try:
         deleted = _finish_clean_up(spark, spec, work, clean)
-        totals, path, rejects_path = load_frame(scan(spark, spec), spec, work, run_ts)
+        totals, path, rejects_path = load_frame(scan(spark, spec, work=f"{work}/scan"), spec, work, run_ts)
         files = proven(spark, spec, work, path, rejects_path, listing)
         if clean:
             write_layer(files, spec.ledger_path)
@@ -167,7 +167,7 @@ def load_batch(
     except Exception:
         remove(spark, work)
         raise
-    for table in ("staged", "in-bronze", "in-rejects"):
+    for table in ("scan", "staged", "in-bronze", "in-rejects"):
         remove(spark, f"{work}/{table}")
     return LoadResult(0, totals.records, totals.rejects, path, rejects_path, deleted, files)
 

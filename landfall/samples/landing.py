@@ -63,6 +63,33 @@ def write_landing(
     return records.mapInPandas(write, "files long").agg(F.sum("files")).first()[0]
 
 
+def write_elements(elements: DataFrame, folder: str, name: str = "elements", per_file: int = 100_000) -> int:
+    """Write ``element`` (XML text) into documents of up to ``per_file`` elements; returns the number of files."""
+    s3 = session_store_options(elements.sparkSession)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = urlsplit(folder)
+        store, root = open_store(parts.scheme, parts.netloc, s3), path_in_store(folder)
+        store.create_dir(root, recursive=True)
+        share, files, held = TaskContext.get().partitionId(), 0, []
+
+        def put(texts: list[str]) -> None:
+            with store.open_output_stream(f"{root}/{name}_{share:05d}_{files:05d}.xml") as out:
+                out.write((HEAD + "\n".join(texts) + FOOT).encode())
+
+        for batch in batches:
+            held += batch["element"].tolist()
+            while len(held) >= per_file:
+                put(held[:per_file])
+                held, files = held[per_file:], files + 1
+        if held:
+            put(held)
+            files += 1
+        yield pd.DataFrame({"files": [files]})
+
+    return elements.mapInPandas(write, "files long").agg(F.sum("files")).first()[0]
+
+
 def load_records(lineitem: DataFrame, all_fields: bool = False) -> DataFrame:
     """Line items in the layout of truck loads, as JSON text with (year, "10") as file tokens.
 

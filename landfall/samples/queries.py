@@ -15,12 +15,12 @@ from landfall.operators.columns import strip_prefix
 from landfall.operators.expand import POSITION, accepted, expand_records, transpose, zip_explode
 from landfall.plans.batch import expand, load_batch, scan
 from landfall.plans.loads import KEEP, loads_spec
-from landfall.samples.landing import load_records, write_landing
+from landfall.samples.landing import load_records, write_elements, write_landing
 from landfall.session import work_folder
 from landfall.sinks.cleanup import delete_loaded
 from landfall.sinks.layer import write_layer
 from landfall.sources.csv import read_csv
-from landfall.sources.xml import read_xml
+from landfall.sources.xml import EXACT, read_xml
 from landfall.streaming.incremental import load_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,33 @@ def xml_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads_rows(spark, sf_dir, splittable=True)
 
 
+@query(
+    """
+    select l_orderkey as key, l_linenumber as line, '</row><row>' || l_returnflag as note,
+           case when l_linenumber % 2 = 0 then l_partkey end as inner_key
+    from lineitem
+    """
+)
+def xml_exact_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few documents in many splits, full of what looks like row elements: in comments, CDATA, attributes and inside others."""
+    lines = table(spark, sf_dir, "lineitem")
+    inner = F.when(F.col("l_linenumber") % 2 == 0, F.format_string("<row><k>%d</k></row>", "l_partkey")).otherwise("<row/>")
+    element = F.format_string(
+        "<row at='a>b'><!-- <row><key>0</key></row> --><key>%d</key><line>%d</line><note><![CDATA[</row><row>%s]]></note>%s</row><?skip </row>?>",
+        "l_orderkey", "l_linenumber", "l_returnflag", inner.alias("inner"),
+    )
+    folder, size = work_folder(spark, "exact"), "spark.sql.files.maxPartitionBytes"
+    write_elements(lines.coalesce(2).select(element.alias("element")), folder)
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256k")
+    try:
+        schema = "key long, line int, note string, row struct<k: long>"
+        rows = read_xml(spark, folder, "row", schema, splittable=EXACT, lineage=False)
+    finally:
+        spark.conf.set(size, before)
+    return rows.select("key", "line", "note", F.col("row.k").alias("inner_key"))
+
+
 @query("select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
 def xml_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """XML without a declared schema; only integers need narrowing to their original width."""

@@ -6,6 +6,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from landfall.session import work_folder
+from landfall.sources.xml_exact import exact_elements
+
+EXACT = "exact"
 CORRUPT = "_corrupt_record"
 TO_THE_END = 2**31 - 1  # a substring length; counting the characters first would cost a pass over the text
 
@@ -27,8 +31,9 @@ def read_xml(
     *,
     exclude_attributes: bool = True,
     lineage: bool = True,
-    splittable: bool = False,
+    splittable: bool | str = False,
     stream: bool = False,
+    work: str = "",
     **options: str,
 ) -> DataFrame:
     """Scan every file below ``path`` for ``row_tag`` elements; child elements become columns.
@@ -41,7 +46,18 @@ def read_xml(
     what follows the break. ``splittable=True`` cuts files at the row's end tag, so a single huge
     file is spread over the cluster and only the broken element is lost. It needs a schema, UTF-8
     files and row elements that do not nest, and it reads child names without namespace prefix.
+    ``splittable="exact"`` lifts these limits at the price of a second scan and a staged copy of the elements, made
+    at the call: it tells row elements from the same letters in comments or CDATA, from inner elements of the same name,
+    and reads declared single-byte encodings. It is no stream. The copy is below ``work``, which the caller may remove
+    once done; by default it is a new work folder.
     """
+    if splittable == EXACT:
+        if stream or schema is None:
+            raise ValueError("an exact split scan is a batch with an explicit schema")
+        elements = exact_elements(spark, path, row_tag, work or work_folder(spark, "xml-elements"), **options)
+        parse = {"rowTag": row_tag, "excludeAttribute": str(exclude_attributes).lower(), "ignoreNamespace": "true"}
+        parsed = elements.select(F.from_xml("element", schema, parse).alias("parsed"), "SourceFileName", "SourceFileTime")
+        return parsed.select("parsed.*", *(["SourceFileName", "SourceFileTime"] if lineage else []))
     if splittable:
         df = _split_scan(spark, path, row_tag, schema, exclude_attributes, lineage, stream, options)
         return df

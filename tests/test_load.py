@@ -70,10 +70,11 @@ def test_read_options(spark, spec):
     assert outcomes(result) == {"a_b_d_h.xml": "loaded", "a_c_d_h.xml": "loaded"}
 
 
-def test_staged_copy_is_removed(spark, spec, folder, monkeypatch):
+@pytest.mark.parametrize("splittable", [False, "exact"])
+def test_staged_copy_is_removed(spark, spec, folder, monkeypatch, splittable):
     monkeypatch.setattr(batch, "work_folder", lambda spark, label: f"{folder}/work")
     put(spec.landing, "a_b_d_h.xml", response(GOOD))
-    load_batch(spark, spec, RUN_TS)
+    assert load_batch(spark, spec.but(splittable=splittable), RUN_TS).rows == 2
     assert sorted(os.listdir(f"{folder}/work")) == ["counts", "dispositions"]
 
 
@@ -85,7 +86,7 @@ def test_all_fields(spark, spec):
     assert rows(bronze, "t10_senha_mobile_cast") == [(None,), ("secret",)]
 
 
-@pytest.mark.parametrize("splittable", [True, False])
+@pytest.mark.parametrize("splittable", [True, False, "exact"])
 def test_rejects(spark, spec, splittable):
     put(spec.landing, "a_b_d_h.xml", response(GOOD, "[]", None, '[{"t10_id":'))
     put(spec.landing, "a_c_d_h.xml", "<e><ns1:listaCargasResponse><resParam>x</status></ns1:listaCargasResponse></e>")

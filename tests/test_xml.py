@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions.names import file_name
 from landfall.plans.loads import PAYLOAD, ROW_TAG
+from landfall.sources import xml_exact
 from landfall.sources.csv import read_csv
 from landfall.sources.listing import list_files
 from landfall.sources.xml import read_xml
@@ -68,6 +69,109 @@ def test_no_match_and_no_files(spark, folder, splittable):
     assert values(spark, folder, splittable) == []
 
 
+EXACT_CASES = {
+    "comment": "<e><!-- <R><p>no</p></R> --><R><p>1</p><!-- </R> <R> --></R><!--<R>--><R><p>2</p></R></e>",
+    "cdata": "<e><R><p><![CDATA[</R><R><p>x</p>]]></p></R><x><![CDATA[<R><p>no</p></R>]]></x><R><p>3</p></R></e>",
+    "attribute": "<e><R a='1>2' b=\"x/>\"><p c='>'>4</p></R><R a='/>'/><R a=\"'>\" ><p>5</p></R></e>",
+    "nested": "<e><R><p>6</p><q><R><p>in</p></R></q></R><R><R/><p>7</p></R><R><R><R><p>deep</p></R></R><p>8</p></R></e>",
+    "instruction": "<?xml version='1.0'?><e><?pi <R><p>no</p></R> ?><R><p>9</p></R></e>",
+    "spaces": "<e><R\n><p>10</p></R\t><R ></R ><Rx><p>no</p></Rx><R.x/><R-y><p>no</p></R-y></e>",
+    "root": "<R><p>11</p></R>",
+    "root_line": "<R><p>12</p></R>\n",
+    "doctype": "<!DOCTYPE e [ <!ENTITY z '<R><p>no</p></R>'> <!-- ' --> ]><e><R><p>13</p></R></e>",
+    "empty": "",
+    "none": "<e/>",
+}
+
+
+def small_splits(spark, size):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    return old
+
+
+@pytest.mark.parametrize("size", [24, 100_000])
+def test_exact_split_scan_tells_elements_apart(spark, folder, size):
+    for name, text in EXACT_CASES.items():
+        if name != "doctype" or size > 1000:
+            put(folder, f"{name}.xml", text)
+    whole = values(spark, folder, False)
+    old = small_splits(spark, size)
+    try:
+        assert rows(read_xml(spark, folder, "R", SCHEMA, splittable="exact"), "p") == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_exact_split_scan_refuses_a_document_type_across_splits(spark, folder):
+    put(folder, "a.xml", EXACT_CASES["doctype"])
+    old = small_splits(spark, 16)
+    try:
+        with pytest.raises(ValueError, match="document type"):
+            read_xml(spark, folder, "R", SCHEMA, splittable="exact")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def mixed_document(rnd):
+    """A well-formed document in which everything that looks like a row element without being one occurs."""
+
+    def inner(depth):
+        kinds = ["x", "<p>{}</p>", "<!-- </R> <R> -->", "<![CDATA[</R><R>]]>", "<?do </R>?>", "<q a='>'>{}</q>", "<Rx/>", "é"]
+        text = "".join(rnd.choice(kinds).format(rnd.randrange(99)) for _ in range(rnd.randrange(4)))
+        return text + (element(depth + 1) + inner(depth + 1) if depth < 3 and rnd.random() < 0.3 else "")
+
+    def element(depth=0):
+        return rnd.choice(["<R/>", f"<R>{inner(depth)}</R>", f"<R a='>' b=\"</ R>\">{inner(depth)}</R >".replace("</ R>", "/>")])
+
+    between = ["", "\n", "<!-- <R> -->", "<y><![CDATA[<R></R>]]></y>", "<?x <R>?>", "<Rest/>"]
+    body = "".join(element() + rnd.choice(between) for _ in range(rnd.randrange(40)))
+    return f"<?xml version='1.0' encoding='UTF-8'?>\n<e>{body}</e>"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_exact_split_scan_of_random_documents(spark, folder, seed, monkeypatch):
+    rnd = random.Random(seed)
+    for n in range(5):
+        put(folder, f"a_b_c_{n}.xml", mixed_document(rnd))
+    schema = "p array<string>, q array<string>, Rx string, _corrupt_record string"
+    whole = read_xml(spark, folder, "R", schema, lineage=False)
+    old = small_splits(spark, (60, 150, 300)[seed])
+    try:
+        if seed == 2:  # as for more splits than may be broadcast
+            monkeypatch.setattr(xml_exact.exact_elements, "__defaults__", (0,))
+        split = read_xml(spark, folder, "R", schema, splittable="exact", lineage=False)
+        assert whole.count() > 20
+        assert rows(split) == rows(whole)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_exact_split_scan_of_broken_documents(spark, folder):
+    put(folder, "a.xml", "<e><R><p>1</p></R><R><p>2</q></R></R><R><p>3</p></R><R><p>4</p>")
+    put(folder, "b.xml", "<e><R><p>5</p></R><!-- <R><p>6</p></R>")
+    found = read_xml(spark, folder, "R", SCHEMA, splittable="exact")
+    assert rows(found.where("_corrupt_record is null"), "p") == [("1",), ("3",), ("5",)]
+    assert rows(found.where("_corrupt_record is not null"), "_corrupt_record") == [("<R><p>2</q></R>",), ("<R><p>4</p>",)]
+
+
+def test_exact_split_scan_reads_declared_encodings(spark, folder):
+    with open(f"{folder}/l.xml", "wb") as out:
+        out.write("<?xml version='1.0' encoding='ISO-8859-1'?><e><R><p>é ü</p></R></e>".encode("latin-1"))
+    assert values(spark, folder, "exact") == values(spark, folder, False) == [("é ü",)]
+    with open(f"{folder}/u.xml", "wb") as out:
+        out.write("<?xml version='1.0' encoding='UTF-16'?><e><R><p>x</p></R></e>".encode("utf-16"))
+    with pytest.raises(ValueError, match="u.xml"):
+        values(spark, folder, "exact")
+
+
+def test_exact_split_scan_refuses_streams_and_open_schemas(spark, folder):
+    with pytest.raises(ValueError):
+        read_xml(spark, folder, "R", splittable="exact")
+    with pytest.raises(ValueError):
+        read_xml(spark, folder, "R", SCHEMA, splittable="exact", stream=True)
+
+
 def test_missing_folder_raises(spark, folder):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_xml(spark, f"{folder}/none", "R", SCHEMA)
