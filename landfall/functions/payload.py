@@ -9,6 +9,7 @@ from pyspark.sql import Column, functions as F, types as T
 # Reject reasons.
 MISSING = "missing"
 MALFORMED = "malformed"
+BROKEN_TAIL = "broken_tail"  # the records before are kept
 EMPTY = "empty"
 CORRUPT_XML = "corrupt_xml"
 BAD_FILE_NAME = "bad_file_name"

@@ -66,7 +66,7 @@ def expand(scanned: DataFrame, spec: LoadSpec) -> DataFrame:
         F.coalesce(CORRUPT, spec.payload).alias(spec.payload),
         reason.alias("known_reason"),
     )
-    return expand_records(payloads, spec.payload, spec.record, "known_reason")
+    return expand_records(payloads, spec.payload, spec.record, "known_reason", spec.salvage)
 
 
 def load_frame(

@@ -17,6 +17,7 @@ class LoadSpec:
     Bronze gets a file per scan task, so its write is as parallel as its read; ``files`` asks for that
     many instead, whatever the batch's size. ``date_format`` is the pattern of the date token in file
     names, by which the latest file of a batch is found; without it dates compare as text.
+    ``salvage`` keeps the records before the break of a malformed payload, and sets aside only the rest.
     ``splittable`` is that of ``read_xml``: a huge file is spread over tasks by ``"exact"``.
     ``read_options`` go to the scan and the listing: ``pathGlobFilter``, ``recursiveFileLookup``, ...
     """
@@ -35,6 +36,7 @@ class LoadSpec:
     compression: str = "snappy"
     files: int | None = None
     splittable: bool | str = False
+    salvage: bool = False
     date_format: str | None = None
     read_options: Mapping[str, str] = field(default_factory=dict)
 

@@ -13,6 +13,7 @@ from landfall.functions.names import batch_identity, file_name, name_token, targ
 from landfall.functions.payload import parse_payload, string_record
 from landfall.operators.columns import strip_prefix
 from landfall.operators.expand import POSITION, accepted, expand_records, transpose, zip_explode
+from landfall.operators.nested import flatten
 from landfall.plans.batch import expand, load_batch, scan
 from landfall.plans.loads import KEEP, loads_spec
 from landfall.samples.landing import load_records, write_elements, write_landing
@@ -309,6 +310,105 @@ def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_records(orders, "payload", string_record(["id"]))
 
 
+SALVAGE = """
+    with payloads as (
+        select o_orderkey as k, o_orderkey % 6 as kind, '{"id":' || o_orderkey || ',"s":"a,]}[ \\\\" b"}' as one,
+               ' {"id":' || o_custkey || ',"s":{"x":[1,{"y":2}]}}' as two, '{"id":null,"s":"' || o_orderstatus || '"}' as three
+        from orders
+    ), elements as (
+        select k, kind, 0 as record_position, cast(k as varchar) as id, 'a,]}[ " b' as s from payloads
+        union all select k, kind, 1, cast(o_custkey as varchar), '{"x":[1,{"y":2}]}' from payloads join orders on k = o_orderkey
+        union all select k, kind, 2, null, o_orderstatus from payloads join orders on k = o_orderkey
+    ), kept as (
+        select * from elements where record_position < case kind when 0 then 3 when 1 then 1 when 2 then 2 when 3 then 3 when 4 then 1 else 0 end
+    ), tails as (
+        select k, case kind when 1 then left(two, 12) when 2 then ' nonsense' when 3 then '' when 4 then '{"id":},' || three || ']'
+                   else '[' || left(one, 9) end as tail, if(kind = 5, 'malformed', 'broken_tail') as reason
+        from payloads where kind > 0
+    )
+    select k as o_orderkey, record_position, id, s, cast(null as varchar) as reject_reason, cast(null as varchar) as rejected_text from kept
+    union all select k, null, null, null, reason, tail from tails
+"""
+
+
+@query(SALVAGE)
+def payload_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads broken in different places: complete elements before the break are rows, the rest is set aside."""
+    one = F.format_string('{"id":%d,"s":"a,]}[ \\" b"}', "o_orderkey")
+    two = F.format_string(' {"id":%d,"s":{"x":[1,{"y":2}]}}', "o_custkey")
+    three = F.format_string('{"id":null,"s":"%s"}', "o_orderstatus")
+    kind, opening, comma, closing = F.col("o_orderkey") % 6, F.lit("["), F.lit(","), F.lit("]")
+    payload = (
+        F.when(kind == 0, F.concat(opening, one, comma, two, comma, three, closing))
+        .when(kind == 1, F.concat(opening, one, comma, F.substring(two, 1, 12)))
+        .when(kind == 2, F.concat(opening, one, comma, two, F.lit(" nonsense")))
+        .when(kind == 3, F.concat(opening, one, comma, two, comma, three))
+        .when(kind == 4, F.concat(opening, one, comma, F.lit('{"id":},'), three, closing))
+        .otherwise(F.concat(opening, F.substring(one, 1, 9)))
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", payload.alias("payload"))
+    return expand_records(orders, "payload", string_record(["id", "s"]), salvage=True)
+
+
+NESTED_RECORD = (
+    "array<struct<id: string, customer: struct<key: string, name: string>, lines: array<struct<part: string, tags: array<string>, "
+    "stops: array<struct<at: string>>>>>>"
+)
+
+
+def nested_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Line items as orders with lines, tags and stops, taken apart: null and empty arrays, two levels, null structs."""
+    number = F.col("l_linenumber") % 3
+    both = F.array(F.struct(F.date_format("l_shipdate", "yyyy-MM-dd").alias("at")), F.struct(F.lit(None).cast("string").alias("at")))
+    stops = F.when(number == 0, both).when(number == 1, F.slice(both, 1, 0))
+    tags = F.when(number != 2, F.array("l_returnflag", "l_linestatus"))
+    line = F.struct(F.col("l_partkey").alias("part"), tags.alias("tags"), stops.alias("stops"))
+    order = F.struct(
+        F.col("l_orderkey").alias("id"),
+        F.when(number != 0, F.struct(F.col("l_suppkey").alias("key"), F.lit(None).cast("string").alias("name"))).alias("customer"),
+        F.when(number == 2, F.slice(F.array(line), 1, 0)).otherwise(F.array(line, line)).alias("lines"),
+    )
+    payload = F.to_json(F.array(order), {"ignoreNullFields": "false"})
+    lines = table(spark, sf_dir, "lineitem").select(payload.alias("payload"))
+    parsed = lines.select(F.from_json("payload", NESTED_RECORD).alias("parsed"))
+    return flatten(parsed, "parsed", work_folder(spark, "nested"))
+
+
+@query(
+    """
+    select cast(l_orderkey as varchar) as id, l_linenumber % 3 <> 0 as has_customer,
+           case when l_linenumber % 3 <> 0 then cast(l_suppkey as varchar) end as customer_key,
+           case when l_linenumber % 3 = 2 then 0 else 2 end as lines_count
+    from lineitem
+    """
+)
+def nested_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = nested_tables(spark, sf_dir)["root"]
+    return root.select("id", F.col("customer_present").alias("has_customer"), "customer_key", "lines_count")
+
+
+@query(
+    """
+    with two as (select * from lineitem, range(2) as r(p) where l_linenumber % 3 <> 2), n as (select *, l_linenumber % 3 as n from two)
+    select cast(l_orderkey as varchar) as id, cast(p as int) as line_position, cast(l_partkey as varchar) as part,
+           'tag' as kind, cast(q as int) as position, case q when 0 then l_returnflag else l_linestatus end as value
+    from n, range(2) as s(q)
+    union all
+    select cast(l_orderkey as varchar), cast(p as int), cast(l_partkey as varchar), 'stop', cast(q as int), case when q = 0 then strftime(l_shipdate, '%Y-%m-%d') end
+    from n, range(2) as s(q) where n = 0
+    """
+)
+def nested_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Children of both levels, joined with their parents by the generated keys."""
+    tables = nested_tables(spark, sf_dir)
+    root = tables["root"].select(F.col("row_key").alias("parent_key"), "id")
+    lines = tables["root_lines"].join(root, "parent_key")
+    lines = lines.select(F.col("row_key").alias("parent_key"), "id", F.col("position").alias("line_position"), "part")
+    tags, stops = tables["root_lines_tags"], tables["root_lines_stops"].withColumnRenamed("at", "value")
+    below = [t.select("parent_key", F.lit(kind).alias("kind"), "position", "value") for t, kind in ((tags, "tag"), (stops, "stop"))]
+    return lines.join(below[0].union(below[1]), "parent_key").drop("parent_key")
+
+
 # Columns and names.
 
 

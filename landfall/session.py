@@ -47,6 +47,14 @@ def object_store_conf_from_env(env: Mapping[str, str] = os.environ) -> dict[str,
     return object_store_conf(env[ENDPOINT_VARIABLE], env[ACCESS_KEY_VARIABLE], env[SECRET_KEY_VARIABLE])
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did; on a cluster it is installed or shipped as usual."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for staged tables, below the cluster's shared ``spark.checkpoint.dir``.
 

@@ -17,6 +17,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from landfall.session import importable
+
 #: States between fragments. Tags and quoted attributes cannot hold a "<", so no fragment ends within one.
 TEXT, COMMENT, CDATA, INSTRUCTION = range(4)
 #: Within the internal part of a document type, whose quoted values may hold anything. It must end in a file's first split.
@@ -270,6 +272,7 @@ def exact_elements(
     The files are scanned twice: once for the maps of their splits (four numbers per state), once to cut them. An
     element that lies across splits is put together from its shares, and must fit in a row, as any other.
     """
+    importable(spark)
     lexer = Lexer(tag)
     scan = spark.read.format("text").schema("value string").option("lineSep", f"</{tag}>").options(**options).load(path)
     meta = F.col("_metadata")

@@ -290,3 +290,12 @@ def test_interrupted_clean_up_is_finished_first(spark, spec, monkeypatch):
 @pytest.mark.parametrize("a, b, same", [(5000, 5999, True), (5001, 5001, True), (5001, 5002, False), (5000, 6000, False), (5999, 6000, False)])
 def test_change_times_by_their_precision(a, b, same):
     assert same_time(a, b) == same_time(b, a) == same
+
+
+@pytest.mark.parametrize("splittable", [False, "exact"])
+def test_salvaged_payloads_are_loaded_and_cleaned(spark, spec, splittable):
+    put(spec.landing, "a_b_d_h.xml", response(GOOD, '[{"t10_id":9},{"t10_id":'))
+    result = load_batch(spark, spec.but(salvage=True, splittable=splittable), RUN_TS, clean=True)
+    assert (result.rows, result.rejects, result.deleted) == (3, 1, 1)
+    assert rows(spark.read.parquet(result.path), "t10_id", "NumRows") == [("1", "3"), ("2", "3"), ("9", "3")]
+    assert rows(spark.read.parquet(result.rejects_path), "reject_reason", "rejected_text") == [("broken_tail", '{"t10_id":')]

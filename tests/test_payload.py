@@ -2,6 +2,7 @@ import random
 
 import pytest
 from landed import rows
+from pyspark.sql import functions as F
 
 from landfall.functions.payload import parse_payload, string_record
 from landfall.operators.columns import strip_prefix
@@ -160,3 +161,61 @@ def test_text_is_not_carried_through_the_explode(spark, folder):
     generate = next(line for line in text.splitlines() if "Generate" in line)
     assert "payload" not in generate
     assert "rejected_text" in generate
+
+
+ELEMENTS = ['{"a":1,"b":"x,]}"}', ' null', '{"a":{"c":[1,{}]},"b":null}', '\n{"b":"\\\\\\""}', '{"a":"é\\u0041 [","b":2}']
+WHOLE = [("1", "x,]}"), (None, None), ('{"c":[1,{}]}', None), (None, '\\"'), ("éA [", "2")]
+
+
+def test_salvage_of_every_truncation(spark):
+    text = "[" + ",".join(ELEMENTS) + "]"
+    record = string_record(["a", "b"])
+    df = spark.createDataFrame([(n, text[:n]) for n in range(1, len(text) + 1)], "n int, p string").repartition(3)
+    found = expand_records(df, "p", record, salvage=True)
+    got = {}
+    for row in found.orderBy("n", F.col("record_position").asc_nulls_last()).collect():
+        got.setdefault(row["n"], []).append((row["a"], row["b"], row["reject_reason"], row["rejected_text"]))
+    ends = [1 + sum(len(e) + 1 for e in ELEMENTS[: i + 1]) - 1 for i in range(len(ELEMENTS))]
+    for n in range(1, len(text)):
+        # A literal is complete only when a comma or bracket follows it, an object with its last brace.
+        done = sum(n >= end + (e.strip() == "null") for end, e in zip(ends, ELEMENTS))
+        assert [r[:2] for r in got[n][:-1]] == WHOLE[:done]
+        reason, tail = got[n][-1][2:]
+        start = min(ends[done - 1] + 1, n) if done else 0
+        assert (reason, tail) == ("broken_tail" if done else "malformed", text[start:n])
+    assert [r[:2] for r in got[len(text)]] == WHOLE
+
+
+@pytest.mark.parametrize(
+    "text, ids, tail",
+    [
+        ('[{"a":1},{"a":},{"a":3}]', ["1"], '{"a":},{"a":3}]'),
+        ('[{"a":1},5,{"a":3}]', ["1"], '5,{"a":3}]'),
+        ('[{"a":1},,{"a":3}]', ["1"], ',{"a":3}]'),
+        ('[{"a":1}{"a":2}]', ["1"], '{"a":2}]'),
+        ('[{"a":1}] rest', ["1"], " rest"),
+        ('[{"a":1}][{"a":2}]', ["1"], '[{"a":2}]'),
+        ("[{'a':'it'},{'a", ["it"], "{'a"),
+    ],
+)
+def test_salvage_stops_at_the_first_break(spark, text, ids, tail):
+    found = expand_records(frame(spark, text), "payload", string_record(["a"]), salvage=True)
+    assert rows(accepted(found), "a") == [(i,) for i in ids]
+    assert rows(rejected(found, "n")) == [(0, "broken_tail", tail)]
+
+
+@pytest.mark.parametrize("text, reason", [("[1,2", "malformed"), ('{"a":1', "malformed"), ("", "malformed"), ("x", "malformed"), (None, "missing"), ("[]", "empty")])
+def test_nothing_to_salvage(spark, text, reason):
+    found = expand_records(frame(spark, text), "payload", string_record(["a"]), salvage=True)
+    assert accepted(found).count() == 0
+    assert rows(rejected(found, "n")) == [(0, reason, text)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_salvage_changes_no_good_payload(spark, seed):
+    df = frame(spark, *random_payloads(seed))
+    plain, saved = (expand_records(df, "payload", RECORD, salvage=s) for s in (False, True))
+    assert plain.columns == saved.columns
+    good = df.join(rejected(plain, "n").select("n"), "n", "left_anti").select("n")
+    assert rows(saved.join(good, "n")) == rows(plain.join(good, "n"))
+    assert rejected(saved, "n").select("n").exceptAll(rejected(plain, "n").select("n")).count() == 0
