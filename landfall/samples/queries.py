@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall.functions.audit import stamp
+from landfall.functions.exact import changed_by_text, expand_exact, inventory
 from landfall.functions.names import batch_identity, file_name, name_token, target_name
 from landfall.functions.payload import parse_payload, string_record
 from landfall.operators.columns import strip_prefix
@@ -350,6 +351,58 @@ def payload_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_records(orders, "payload", string_record(["id", "s"]), salvage=True)
 
 
+def number_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of more digits than a double has, and a field of several types."""
+    mixed = F.when(F.col("o_orderkey") % 3 == 0, "7").when(F.col("o_orderkey") % 3 == 1, '"seven"').otherwise("null")
+    payload = F.format_string(
+        '[{"id":%d,"price":%d.12345678901234567890,"long":123456789012345678901234567890,"mixed":%s},{"id":%d,"extra":{"x":1}}]',
+        "o_orderkey", "o_orderkey", mixed, "o_custkey",
+    )
+    return table(spark, sf_dir, "orders").select("o_orderkey", payload.alias("payload"))
+
+
+@query(
+    """
+    select o_orderkey, o_orderkey as id, (o_orderkey || '.1234567890123456789')::decimal(38, 20)::varchar as price,
+           '123456789012345678901234567890' as long, if(o_orderkey % 3 = 0, 7, null)::int as mixed, if(o_orderkey % 3 = 1, 'mixed', '') as unfit,
+           0 as record_position
+    from orders
+    union all
+    select o_orderkey, o_custkey, null, null, null, '', 1 from orders
+    """
+)
+def json_exact_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values in their declared types at full precision; what does not fit is named."""
+    types = {"id": "bigint", "price": "decimal(38,20)", "long": "string", "mixed": "int"}
+    rows = expand_exact(number_payloads(spark, sf_dir), "payload", types)
+    unfit = F.array_join("unfit_fields", ",").alias("unfit")
+    return rows.select("o_orderkey", "id", F.col("price").cast("string").alias("price"), "long", "mixed", unfit, POSITION)
+
+
+@query("select o_orderkey, 'price' as field, o_orderkey || '.1234567890123456789' as exact from orders")
+def json_changed_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers that reading as text changes."""
+    return changed_by_text(number_payloads(spark, sf_dir), "payload", ["id", "price", "long", "mixed"]).select("o_orderkey", "field", "exact")
+
+
+@query(
+    """
+    with n as (select count(*) as n, count(*) filter (o_orderkey % 3 = 0) as a, count(*) filter (o_orderkey % 3 = 1) as b,
+                      max(length(o_orderkey::varchar))::int as digits from orders)
+    select 'id' as field, 'BIGINT' as kind, 2 * n as records, null::int as whole_digits, null::int as scale from n
+    union all select 'price', 'DECIMAL', n, digits, 19 from n
+    union all select 'long', 'DECIMAL', n, 30, 0 from n
+    union all select 'extra', 'OBJECT', n, null, null from n
+    union all select 'mixed', 'BIGINT', a, null, null from n
+    union all select 'mixed', 'STRING', b, null, null from n
+    union all select 'mixed', 'VOID', n - a - b, null, null from n
+    """
+)
+def json_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which types the fields of all payloads have."""
+    return inventory(number_payloads(spark, sf_dir), "payload")
+
+
 NESTED_RECORD = (
     "array<struct<id: string, customer: struct<key: string, name: string>, lines: array<struct<part: string, tags: array<string>, "
     "stops: array<struct<at: string>>>>>>"
