@@ -13,6 +13,7 @@ from landfall.functions.exact import changed_by_text, expand_exact, inventory
 from landfall.functions.names import batch_identity, file_name, name_token, target_name
 from landfall.functions.payload import parse_payload, string_record
 from landfall.operators.columns import strip_prefix
+from landfall.operators.drift import drift, merged, profile
 from landfall.operators.expand import POSITION, accepted, expand_records, transpose, zip_explode
 from landfall.operators.nested import flatten
 from landfall.plans.batch import expand, load_batch, scan
@@ -21,6 +22,7 @@ from landfall.samples.landing import load_records, write_elements, write_landing
 from landfall.session import work_folder
 from landfall.sinks.cleanup import delete_loaded
 from landfall.sinks.layer import write_layer
+from landfall.sinks.versions import AuditFailed, VersionConflict, publish, read_version, restore, versions
 from landfall.sources.csv import read_csv
 from landfall.sources.xml import EXACT, read_xml
 from landfall.streaming.incremental import load_stream
@@ -403,6 +405,28 @@ def json_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory(number_payloads(spark, sf_dir), "payload")
 
 
+@query(
+    """
+    with f as (select o_orderstatus as file, max(length(o_custkey::varchar)) as digits from orders group by 1)
+    select file, 'id' as field, 'type' as change, 'BIGINT' as declared, 'STRING' as found from f where file = 'F'
+    union all select file, 'cents', 'type', 'DECIMAL(4,2)', 'DECIMAL(' || digits + 3 || ',3)' from f
+    union all select file, 'remark', 'new', null, 'OBJECT' from f where file = 'O'
+    union all select file, 'remark', 'new', null, 'VARIANT' from f where file = 'P'
+    union all select file, 'gone', 'missing', 'STRING', null from f where file <> 'P'
+    """
+)
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields by file that depart from the declared record; two halves of the payloads are profiled apart and merged."""
+    status, key = F.col("o_orderstatus"), F.col("o_orderkey")
+    remark = F.when(status == "O", ',"remark":{"x":1}').when(status == "P", F.when(key % 2 == 0, ',"remark":[1],"gone":"x"').otherwise(',"remark":"y","gone":null'))
+    whole = F.when(status == "F", F.concat(F.lit('"'), key.cast("string"), F.lit('"'))).otherwise(key.cast("string"))
+    payload = F.concat(F.lit('[{"id":'), whole, F.lit(',"cents":'), F.col("o_custkey").cast("string"), F.lit(".125"), F.coalesce(remark, F.lit("")), F.lit("}]"))
+    orders = table(spark, sf_dir, "orders").select("o_custkey", status.alias("file"), payload.alias("payload"))
+    halves = [profile(orders.where(half), "payload", by="file") for half in ("o_custkey % 2 = 0", "o_custkey % 2 <> 0")]
+    declared = {"id": "BIGINT", "cents": "DECIMAL(4,2)", "gone": "STRING"}
+    return drift(merged(halves, by="file"), declared, by="file")
+
+
 NESTED_RECORD = (
     "array<struct<id: string, customer: struct<key: string, name: string>, lines: array<struct<part: string, tags: array<string>, "
     "stops: array<struct<at: string>>>>>>"
@@ -635,6 +659,37 @@ def sized_files_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    select 1 as version, count(*) as rows, sum(o_orderkey)::bigint as keys from orders
+    union all select 2, count(*), sum(o_orderkey)::bigint from orders where o_orderstatus <> 'P'
+    union all select 3, count(*), sum(o_orderkey)::bigint from orders
+    """
+)
+def atomic_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions, a write that its audit refuses, a write from an old version, and the first version restored."""
+    path, orders = work_folder(spark, "versions"), table(spark, sf_dir, "orders")
+    publish(orders, path)
+    publish(orders.where("o_orderstatus <> 'P'"), path, base=1)
+
+    def no_open_orders(written: DataFrame) -> None:
+        if not written.where("o_orderstatus = 'O'").isEmpty():
+            raise AuditFailed("open orders")
+
+    for refused in ({"audit": no_open_orders}, {"base": 1}):
+        try:
+            publish(orders.where("o_orderstatus = 'O'"), path, **refused)
+        except (AuditFailed, VersionConflict):
+            continue
+        raise AssertionError("published what should have been refused")
+    restore(spark, path, 1)
+    found = [
+        read_version(spark, path, v.number).agg(F.lit(v.number).alias("version"), F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
+        for v in versions(spark, path)
+    ]
+    return found[0].union(found[1]).union(found[2])
+
+
 @query("select 0 as status, count(*) as n from orders")
 def write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome code and the row count, both from the write itself."""
