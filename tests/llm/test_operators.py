@@ -4,6 +4,7 @@ import itertools
 import json
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -214,7 +215,7 @@ def test_url_mining_against_brute_force(spark):
     for i in range(400):
         some = random.sample(["p:a", "p:b", "p:c", "p:d", "h:x"], 3)
         rows.append((some, random.random() < (0.9 if {"p:a", "h:x"} <= set(some) else 0.2)))
-    mined = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.02, 10, 0.6)
+    mined = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.02, 10, 0.6, z=0.0)
     items = sorted({t for some, _ in rows for t in some})
     rules = {}
     for n in (1, 2, 3):
@@ -229,6 +230,35 @@ def test_url_mining_against_brute_force(spark):
     assert hits == {i for i, (some, _) in enumerate(rows) if any(set(r) <= set(some) for r in kept)}
 
 
+def test_url_tokens_that_stand_together_are_one_item(spark):
+    random.seed(3)
+    common = [f"p:common{i}" for i in range(30)]
+    rows = []
+    for _ in range(300):
+        some = common + random.sample(["h:a", "h:b", "h:c"], 1) + (["q:x", "q:y"] if random.random() < 0.3 else [])
+        rows.append((some, random.random() < (0.95 if "h:a" in some and "q:x" in some else 0.25)))
+    began = time.time()
+    found = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    assert time.time() - began < 60
+    assert [(r.tokens, r.members) for r in found] == [(["h:a", "q:x"], [["h:a"], ["q:x", "q:y"]])]
+    urls = spark.createDataFrame([(1, ["h:a", "q:y"]), (2, ["h:a"]), (3, ["q:x", "h:a", "z"]), (4, ["q:x", "q:y"])], "k int, tokens array<string>")
+    rules = spark.createDataFrame(found, "tokens array<string>, members array<array<string>>, confidence double, support double")
+    assert {r.k for r in url_rules.matched(urls, rules, "k").collect()} == {1, 3}
+
+
+def test_url_rules_do_not_depend_on_the_share_of_rows(spark):
+    """A host with few urls, nearly all bad, gives a rule among many rows as among few."""
+    for n in (200, 4000):
+        rows = [(["h:spam"], i < 9) for i in range(10)] + [([f"h:{i % 50}"], i % 4 == 0) for i in range(n)]
+        found = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), z=1.64).collect()
+        assert [r.tokens for r in found] == [["h:spam"]]
+
+
+def test_url_mining_fires_on_the_given_pages(spark):
+    found = QUERIES["op5_url_filter"](spark, "/root/testdata/sf0.1")
+    assert found.filter("rule is null and verdict = 'block'").count() > 0
+
+
 # 6: embedding dedup
 
 
