@@ -67,3 +67,11 @@ def rename(spark: SparkSession, path: str, to: str) -> bool:
     if file_system.exists(target):
         return False
     return file_system.rename(source, target)
+
+
+def sizes(spark: SparkSession, path: str, suffix: str) -> dict[str, int]:
+    """Bytes of the files directly in a folder, by name, without hidden ones."""
+    hadoop_path, file_system = _resolve(spark, path)
+    listed = [s for s in file_system.listStatus(hadoop_path) if s.isFile()]
+    named = {s.getPath().getName(): s.getLen() for s in listed}
+    return {name: size for name, size in named.items() if name.endswith(suffix) and name[0] not in "._"}

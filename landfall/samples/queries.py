@@ -19,11 +19,14 @@ from landfall.operators.nested import flatten
 from landfall.plans.batch import expand, load_batch, scan
 from landfall.plans.loads import KEEP, loads_spec
 from landfall.samples.landing import load_records, write_elements, write_landing
+from landfall.paths import sizes
 from landfall.session import work_folder
 from landfall.sinks.cleanup import delete_loaded
 from landfall.sinks.layer import write_layer
+from landfall.sinks.sizing import resize
 from landfall.sinks.versions import AuditFailed, VersionConflict, publish, read_version, restore, versions
 from landfall.sources.csv import read_csv
+from landfall.sources.csv_aligned import read_aligned
 from landfall.sources.xml import EXACT, read_xml
 from landfall.streaming.incremental import load_stream
 
@@ -167,6 +170,43 @@ def csv_parts_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, folder, schema)
 
 
+CUSTOMER = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+def misaligned_customers(spark: SparkSession, sf_dir: str) -> str:
+    """Customers in CSV parts of three layouts, one with a line too short for each customer of a nation."""
+    customer, folder = table(spark, sf_dir, "customer"), work_folder(spark, "aligned")
+    layouts = [
+        (0, ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
+        (1, ["c_mktsegment", "c_acctbal", "c_name", "c_custkey", "c_nationkey"]),
+        (2, ["c_name", "note", "c_custkey", "c_mktsegment"]),
+    ]
+    for kind, columns in layouts:
+        part = customer.where(F.col("c_custkey") % 3 == kind).withColumn("note", F.lit('a "quoted", note'))
+        part.select(columns).repartition(2).write.mode("append").option("header", True).option("escape", '"').csv(folder)
+    short = customer.where("c_nationkey = 7").select(F.concat(F.lit("short "), "c_custkey").alias("c_name"), F.lit("x").alias("c_custkey"))
+    lines = short.select(F.concat_ws(",", "c_name", "c_custkey").alias("c_name,c_custkey,c_acctbal"))
+    lines.coalesce(1).write.mode("append").option("header", True).option("sep", "|").csv(folder)
+    return folder
+
+
+@query(
+    """
+    select c_custkey, c_name, case when c_custkey % 3 < 2 then c_nationkey end as c_nationkey,
+           case when c_custkey % 3 < 2 then c_acctbal end as c_acctbal, c_mktsegment
+    from customer
+    """
+)
+def csv_aligned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with columns in different order, missing and more than declared."""
+    return read_aligned(spark, misaligned_customers(spark, sf_dir), CUSTOMER)[0].drop("SourceFileName")
+
+
+@query("select 'too_few_values' as reject_reason, 'short ' || c_custkey || ',x' as line from customer where c_nationkey = 7")
+def csv_aligned_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_aligned(spark, misaligned_customers(spark, sf_dir), CUSTOMER)[1].select("reject_reason", "line")
+
+
 # Payloads.
 
 
@@ -690,6 +730,19 @@ def atomic_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].union(found[1]).union(found[2])
 
 
+@query("select count(*) as n, sum(o_orderkey)::bigint as keys, 5::bigint as files from orders")
+def byte_sized_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skewed files rewritten to files of a fifth of the table's bytes."""
+    orders, path, out = table(spark, sf_dir, "orders"), work_folder(spark, "skewed"), work_folder(spark, "resized")
+    write_layer(orders.where("o_orderkey % 10 > 0").coalesce(1), path)
+    write_layer(orders.where("o_orderkey % 10 = 0").repartition(20), path, mode="append")
+    target = sum(sizes(spark, path, ".parquet").values()) // 5
+    resize(spark, path, out, target)
+    file = F.col("_metadata.file_path").alias("file")
+    rows = spark.read.parquet(out).select("o_orderkey", file)
+    return rows.agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.countDistinct("file").alias("files"))
+
+
 @query("select 0 as status, count(*) as n from orders")
 def write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome code and the row count, both from the write itself."""
