@@ -12,6 +12,7 @@ from landfall.operators.expand import REASON
 LOADED = "loaded"
 NO_RECORDS = "no_records"
 MISMATCH = "mismatch"
+RESENT = "resent"  # another file brought the same content
 
 
 def file_counts(expanded: DataFrame) -> DataFrame:

@@ -11,14 +11,15 @@ from landfall.functions.audit import stamp
 from landfall.functions.names import batch_tokens, latest_identity, target_name
 from landfall.functions.payload import BAD_FILE_NAME, CORRUPT_XML
 from landfall.operators.expand import accepted, expand_records, rejected
-from landfall.operators.reconcile import MISMATCH, file_counts, reconcile
+from landfall.operators.reconcile import LOADED, MISMATCH, RESENT, file_counts, reconcile
+from landfall.operators.resent import MARKS, fingerprints, read_ledger, resent
 from landfall.paths import exists, remove
 from landfall.plans.spec import LoadSpec
 from landfall.session import work_folder
 from landfall.sinks.cleanup import DELETED, delete_loaded
 from landfall.sinks.layer import WriteResult, write_layer
 from landfall.sources.listing import list_files
-from landfall.sources.xml import CORRUPT, read_xml
+from landfall.sources.xml import CORRUPT, listed_files, read_xml
 
 UNNAMED = "unnamed"  # the reject folder of a batch without a single well-named file
 
@@ -35,7 +36,9 @@ class LoadMismatch(RuntimeError):
 class LoadResult:
     """What a load did. ``path`` is empty when there was nothing to load.
 
-    ``files`` has one row per landed file that was read: its counts, disposition and clean-up outcome.
+    ``status`` is 0, or 1 for a load that failed and was asked not to raise; ``message`` then says why. ``unread`` counts the
+    landed files without any row element. ``files`` has one row per landed file that was read: its counts, disposition and
+    clean-up outcome.
     """
 
     status: int
@@ -45,6 +48,8 @@ class LoadResult:
     rejects_path: str
     deleted: int
     files: DataFrame | None
+    unread: int = 0
+    message: str = ""
 
 
 def scan(spark: SparkSession, spec: LoadSpec, stream: bool = False, work: str = "", **options: str) -> DataFrame:
@@ -81,6 +86,11 @@ def load_frame(
     spark = scanned.sparkSession
     write_layer(expand(scanned, spec), f"{work}/staged")
     staged = spark.read.parquet(f"{work}/staged")
+    if spec.fingerprints:
+        write_layer(fingerprints(staged), f"{work}/prints")
+        prints = spark.read.parquet(f"{work}/prints")
+        write_layer(resent(prints, read_ledger(spark, spec.fingerprints_path)), f"{work}/resent")
+        staged = staged.join(spark.read.parquet(f"{work}/resent"), "SourceFileName", "left_anti").select(staged.columns)
 
     write_layer(file_counts(staged), f"{work}/counts")
     counts = spark.read.parquet(f"{work}/counts")
@@ -132,9 +142,19 @@ def proven(
         f"{work}/dispositions",
     )
     files = spark.read.parquet(f"{work}/dispositions")
+    if spec.fingerprints:
+        loaded = files.where(F.col("disposition") == LOADED).select("SourceFileName")
+        new = spark.read.parquet(f"{work}/prints").join(loaded, "SourceFileName", "left_semi")
+        ledger = read_ledger(spark, spec.fingerprints_path).select("SourceFileName", *MARKS)
+        new = new.join(ledger, ["SourceFileName", *MARKS], "left_anti").select("SourceFileName", *MARKS, F.lit(path).alias("batch"))
+        again = spark.read.parquet(f"{work}/resent").select("SourceFileName", "SourceFileTime")
+        none = F.lit(0).cast("bigint")
+        files = files.union(again.select("*", none.alias("records"), none.alias("rejects"), F.lit(RESENT).alias("disposition")))
     wrong = files.where(F.col("disposition") == MISMATCH).count()
     if wrong:
         raise LoadMismatch(f"{wrong} landed files are not fully in {path or rejects_path}")
+    if spec.fingerprints:
+        write_layer(new, spec.fingerprints_path, mode="append")
     return files
 
 
@@ -144,10 +164,11 @@ def load_batch(
     run_ts: datetime | None = None,
     clean: bool = False,
     report_unread: bool = False,
+    raise_errors: bool = True,
 ) -> LoadResult:
     """Load everything landed now; with ``clean``, then delete the files proven to be loaded.
 
-    Errors propagate and leave landing untouched. Files that arrive during the run are neither
+    Errors leave landing untouched and propagate, or, without ``raise_errors``, make the result's status 1. Files that arrive during the run are neither
     loaded nor deleted, and a file that holds no row element is never deleted. ``report_unread``
     adds the latter to the result as ``no_records``; it costs a second listing of landing and, as
     Spark scans files, a task for every few of them. A load can be repeated at any point: files the
@@ -157,19 +178,29 @@ def load_batch(
     listing = list_files(spark, spec.landing, **spec.read_options) if report_unread else None
     try:
         deleted = _finish_clean_up(spark, spec, work, clean)
-        totals, path, rejects_path = load_frame(scan(spark, spec, work=f"{work}/scan"), spec, work, run_ts)
+        scanned = scan(spark, spec, work=f"{work}/scan")
+        totals, path, rejects_path = load_frame(scanned, spec, work, run_ts)
         files = proven(spark, spec, work, path, rejects_path, listing)
         if clean:
             write_layer(files, spec.ledger_path)
             files = delete_loaded(spark, files, f"{work}/deletions")
             deleted += files.where(F.col("outcome") == DELETED).count()
             remove(spark, spec.ledger_path)
-    except Exception:
+        unread = listed_files(scanned) - _read_files(spark, spec, work)
+    except Exception as error:
         remove(spark, work)
-        raise
+        if raise_errors:
+            raise
+        return LoadResult(1, 0, 0, "", "", 0, None, message=f"{type(error).__name__}: {error}")
     for table in ("scan", "staged", "in-bronze", "in-rejects"):
         remove(spark, f"{work}/{table}")
-    return LoadResult(0, totals.records, totals.rejects, path, rejects_path, deleted, files)
+    return LoadResult(0, totals.records, totals.rejects, path, rejects_path, deleted, files, unread)
+
+
+def _read_files(spark: SparkSession, spec: LoadSpec, work: str) -> int:
+    """How many files had a row element, from the staged counts."""
+    again = spark.read.parquet(f"{work}/resent").count() if spec.fingerprints else 0
+    return spark.read.parquet(f"{work}/counts").count() + again
 
 
 def _finish_clean_up(spark: SparkSession, spec: LoadSpec, work: str, clean: bool) -> int:

@@ -17,6 +17,8 @@ class LoadSpec:
     Bronze gets a file per scan task, so its write is as parallel as its read; ``files`` asks for that
     many instead, whatever the batch's size. ``date_format`` is the pattern of the date token in file
     names, by which the latest file of a batch is found; without it dates compare as text.
+    ``fingerprints`` keeps a ledger of loaded content beside the target: a file that brings the content of another, renamed
+    or sent again, loads no row, and is cleaned like a loaded one.
     ``salvage`` keeps the records before the break of a malformed payload, and sets aside only the rest.
     ``splittable`` is that of ``read_xml``: a huge file is spread over tasks by ``"exact"``.
     ``read_options`` go to the scan and the listing: ``pathGlobFilter``, ``recursiveFileLookup``, ...
@@ -37,6 +39,7 @@ class LoadSpec:
     files: int | None = None
     splittable: bool | str = False
     salvage: bool = False
+    fingerprints: bool = False
     date_format: str | None = None
     read_options: Mapping[str, str] = field(default_factory=dict)
 
@@ -64,5 +67,10 @@ class LoadSpec:
         """Names the proven files while a clean-up deletes them."""
         return f"{self.target.rstrip('/')}_cleaning"
 
+    @property
+    def fingerprints_path(self) -> str:
+        """What has been loaded, by content."""
+        return f"{self.target.rstrip('/')}_fingerprints"
+
     def but(self, **changes) -> LoadSpec:
         return replace(self, **changes)

@@ -864,6 +864,28 @@ def file_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.files.groupBy("disposition").agg(F.sum("records").alias("records"), F.sum("rejects").alias("rejects"))
 
 
+@query(
+    """
+    with n as (select count(*) filter (o_orderstatus <> 'P') as early, count(*) filter (o_orderstatus = 'P') as late from orders)
+    select 'first' as load, early as rows, 0::bigint as still_landed from n
+    union all select 'renamed', 0::bigint, 0::bigint from n
+    union all select 'renamed and new', late, 0::bigint from n
+    """
+)
+def resent_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is landed again under other names loads no row and is cleaned; new files beside it load."""
+    landing, records = work_folder(spark, "landing"), order_records(spark, sf_dir)
+    spec = loads_spec(landing, work_folder(spark, "bronze"), "erp", fingerprints=True, mode="append")
+    early, late, told = records.where("o_orderstatus <> 'P'"), records.where("o_orderstatus = 'P'"), []
+    for name, drops in (("first", [("early", early)]), ("renamed", [("again", early)]), ("renamed and new", [("oncemore", early), ("late", late)])):
+        for prefix, rows in drops:
+            write_landing(rows, landing, prefix=prefix)
+        result = load_batch(spark, spec, RUN_TS, clean=True)
+        left = spark.read.format("binaryFile").load(landing).select("path")
+        told.append(left.agg(F.lit(name).alias("load"), F.lit(result.rows).cast("bigint").alias("rows"), F.count("*").alias("still_landed")))
+    return told[0].union(told[1]).union(told[2])
+
+
 @query(f"select {LOAD_COLUMNS}, 'erp' as \"SourceName\" from lineitem")
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of files, each loaded once by a stream that runs when called."""

@@ -10,7 +10,7 @@ import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.operators.reconcile import LOADED
+from landfall.operators.reconcile import LOADED, RESENT
 
 CHANGED = "changed"
 DELETED = "deleted"
@@ -88,13 +88,13 @@ def _deleter(s3: dict):
 
 
 def delete_loaded(spark: SparkSession, dispositions: DataFrame, log_path: str) -> DataFrame:
-    """Delete the files whose disposition is ``loaded`` and return every file with its outcome.
+    """Delete the files whose disposition is ``loaded`` or ``resent`` and return every file with its outcome.
 
     Deletions run in tasks, spread over the cluster, and are logged to ``log_path``. A file that
     changed since it was read is kept (``changed``). A retried task finds its files
     ``already_gone``. Files with any other disposition are ``kept``.
     """
-    loaded = dispositions.where(F.col("disposition") == LOADED).select(
+    loaded = dispositions.where(F.col("disposition").isin(LOADED, RESENT)).select(
         "SourceFileName", F.unix_millis("SourceFileTime").alias("loaded_ms")
     )
     tasks = math.ceil(loaded.count() / FILES_PER_TASK) or 1

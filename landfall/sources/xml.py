@@ -23,6 +23,11 @@ def with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
+def listed_files(scanned: DataFrame) -> int:
+    """How many files a scan found when it was made, with row elements or without."""
+    return getattr(scanned, "listed_files", None) or len(scanned.inputFiles())
+
+
 def read_xml(
     spark: SparkSession,
     path: str | list[str],
@@ -54,10 +59,12 @@ def read_xml(
     if splittable == EXACT:
         if stream or schema is None:
             raise ValueError("an exact split scan is a batch with an explicit schema")
-        elements = exact_elements(spark, path, row_tag, work or work_folder(spark, "xml-elements"), **options)
+        elements, listed = exact_elements(spark, path, row_tag, work or work_folder(spark, "xml-elements"), **options)
         parse = {"rowTag": row_tag, "excludeAttribute": str(exclude_attributes).lower(), "ignoreNamespace": "true"}
         parsed = elements.select(F.from_xml("element", schema, parse).alias("parsed"), "SourceFileName", "SourceFileTime")
-        return parsed.select("parsed.*", *(["SourceFileName", "SourceFileTime"] if lineage else []))
+        found = parsed.select("parsed.*", *(["SourceFileName", "SourceFileTime"] if lineage else []))
+        found.listed_files = listed
+        return found
     if splittable:
         df = _split_scan(spark, path, row_tag, schema, exclude_attributes, lineage, stream, options)
         return df

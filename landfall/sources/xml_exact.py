@@ -260,8 +260,8 @@ def cut_elements(text: DataFrame, lexer: Lexer) -> DataFrame:
 
 def exact_elements(
     spark: SparkSession, path: str | list[str], tag: str, work: str, broadcast_splits: int = BROADCAST_SPLITS, **options: str
-) -> DataFrame:
-    """``(element, SourceFileName, SourceFileTime)``: the text of each outermost ``tag`` element, staged below ``work``.
+) -> tuple[DataFrame, int]:
+    """``(element, SourceFileName, SourceFileTime)``, and how many files were listed: the text of each outermost ``tag`` element, staged below ``work``.
 
     Comments, CDATA, processing instructions, attributes with ">" and inner elements of the same name are told apart from
     row elements. In a broken document only the broken element is lost; one that a file ends in is returned as it is.
@@ -302,4 +302,5 @@ def exact_elements(
     )
     together = shares.select(F.concat_ws("", "parts.text").alias("element"), "path", "mtime")
     found = cut.filter("whole").select(F.col("element").cast("string").alias("element"), "path", "mtime").union(together)
-    return found.select("element", F.col("path").alias("SourceFileName"), F.col("mtime").alias("SourceFileTime"))
+    named = found.select("element", F.col("path").alias("SourceFileName"), F.col("mtime").alias("SourceFileTime"))
+    return named, len(scan.inputFiles())

@@ -299,3 +299,44 @@ def test_salvaged_payloads_are_loaded_and_cleaned(spark, spec, splittable):
     assert (result.rows, result.rejects, result.deleted) == (3, 1, 1)
     assert rows(spark.read.parquet(result.path), "t10_id", "NumRows") == [("1", "3"), ("2", "3"), ("9", "3")]
     assert rows(spark.read.parquet(result.rejects_path), "reject_reason", "rejected_text") == [("broken_tail", '{"t10_id":')]
+
+
+@pytest.mark.parametrize("splittable", [False, True, "exact"])
+def test_files_without_records_are_counted(spark, spec, splittable):
+    put(spec.landing, "a_b_d_h.xml", response(GOOD))
+    put(spec.landing, "a_c_d_h.xml", "<e><other/></e>")
+    put(spec.landing, "a_d_d_h.xml", "")
+    assert load_batch(spark, spec.but(splittable=splittable), RUN_TS).unread == 2
+
+
+def test_outcome_of_a_failed_load(spark, spec, monkeypatch):
+    put(spec.landing, "a_b_d_h.xml", response(GOOD))
+    with monkeypatch.context() as patch:
+        patch.setattr(batch, "load_frame", lambda *a, **k: (_ for _ in ()).throw(LoadMismatch("rows are missing")))
+        result = load_batch(spark, spec, RUN_TS, clean=True, raise_errors=False)
+    assert (result.status, result.rows, result.deleted, result.message) == (1, 0, 0, "LoadMismatch: rows are missing")
+    assert landed(spec) == ["a_b_d_h.xml"]
+    result = load_batch(spark, spec, RUN_TS, raise_errors=False)
+    assert (result.status, result.rows, result.unread, result.message) == (0, 2, 0, "")
+
+
+def test_renamed_and_resent_files_load_no_row(spark, spec):
+    spec = spec.but(fingerprints=True)
+    other = '[{"t10_id":3},null,{"t10_id":5}]'
+    put(spec.landing, "a_b_15_10.xml", response(GOOD, other, "[]"))
+    put(spec.landing, "z_b_15_10.xml", response(other, GOOD, "[]"))  # the same content in another order
+    first = load_batch(spark, spec, RUN_TS)
+    assert (first.rows, first.unread) == (5, 0)
+    assert outcomes(first) == {"a_b_15_10.xml": "loaded", "z_b_15_10.xml": "resent"}
+    # Loading the same landing again repeats the batch; the ledger does not grow.
+    again = load_batch(spark, spec, RUN_TS, clean=True)
+    assert (again.rows, again.deleted, landed(spec)) == (5, 2, [])
+    assert spark.read.parquet(spec.fingerprints_path).count() == 1
+    put(spec.landing, "renamed_b_16_11.xml", response(GOOD, other, "[]"))
+    resent = load_batch(spark, spec, RUN_TS, clean=True)
+    assert (resent.rows, resent.path, resent.deleted, landed(spec)) == (0, "", 1, [])
+    put(spec.landing, "renamed_b_17_12.xml", response(GOOD, other))  # one payload less
+    put(spec.landing, "new_b_17_12.xml", response(None))
+    changed = load_batch(spark, spec, RUN_TS, clean=True)
+    assert (changed.rows, changed.rejects, changed.deleted) == (5, 1, 2)
+    assert spark.read.parquet(f"{spec.target}/*").count() == 10
