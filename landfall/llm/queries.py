@@ -68,7 +68,7 @@ def url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page is bad when its label (by id) says low quality or toxic."""
     bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad)
-    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), labels, HOST_RULES)
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), labels, HOST_RULES, work=Work(spark, "op5"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
