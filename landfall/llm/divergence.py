@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import chain
@@ -16,8 +15,8 @@ from pyspark.sql import functions as F
 
 from landfall.llm.common import Work, slices
 
-#: Letters A-Z and all characters beyond ASCII, as bytes of UTF-8.
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: Letters in lower case and bytes beyond ASCII (as in UTF-8) stay; every other byte parts terms.
+LETTERS = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
 #: Tokens a task gathers before it sends their sums, but for the end of one text.
 HELD = 2**21
 #: Terms of a block and groups of a tile: what one task compares at a time.
@@ -25,7 +24,7 @@ BLOCK_TERMS, TILE_GROUPS = 4096, 512
 #: Kept terms that may be broadcast (some 100 MB on an executor); beyond, they are joined by a shuffle.
 BROADCAST_TERMS = 2_000_000
 
-SUMS_DDL = "lang bigint, grp bigint, digest bigint, n bigint, docs bigint"
+SUMS_DDL = "grp bigint, digest bigint, n bigint, docs bigint"
 
 
 def digests(some: list[bytes], bits: int) -> np.ndarray:
@@ -37,24 +36,24 @@ def digests(some: list[bytes], bits: int) -> np.ndarray:
 def terms(text: str | None) -> Iterator[list[bytes]]:
     """The terms of a text, a piece of it at a time."""
     for piece in slices((text or "").encode()):
-        yield TERM.findall(piece.lower())
+        yield piece.translate(LETTERS).split()
 
 
 def term_sums(docs: DataFrame, bits: int) -> DataFrame:
-    """``(lang, grp, digest, n, docs)``: occurrences and documents of each digest, summed up within a task; no text.
+    """``(grp, digest, n, docs)``: occurrences and documents of each digest, summed up within a task; no text.
 
     A term's documents are those of all terms with its digest together, so a document may count more than once there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[np.ndarray] = []
-        rows: list[tuple[int, int, int]] = []  # lang, grp and tokens of each row held
+        rows: list[tuple[int, int]] = []  # grp and tokens of each row held
 
         def batch_of() -> pa.RecordBatch:
             digest = np.concatenate(parts)
-            sizes = [n for *_, n in rows]
-            keys, grp = np.unique([r[:2] for r in rows], axis=0, return_inverse=True)
-            grp, row = np.repeat(grp.reshape(-1), sizes), np.repeat(np.arange(len(rows)), sizes)
+            sizes = [n for _, n in rows]
+            keys, grp = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)
+            grp, row = np.repeat(grp, sizes), np.repeat(np.arange(len(rows)), sizes)
             order = np.argsort(digest, kind="stable")
             if len(keys) < 2**16:
                 order = order[np.argsort(grp.astype(np.uint16)[order], kind="stable")]
@@ -67,16 +66,16 @@ def term_sums(docs: DataFrame, bits: int) -> DataFrame:
             fresh[1:] |= row[1:] != row[:-1]
             first = np.flatnonzero(new)
             in_docs = np.add.reduceat(fresh, first, dtype=np.int64)
-            arrays = [*keys[grp[first]].T, digest[first], np.diff(np.append(first, len(new))), in_docs]
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in arrays], names=["lang", "grp", "digest", "n", "docs"])
+            arrays = [keys[grp[first]], digest[first], np.diff(np.append(first, len(new))), in_docs]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], names=["grp", "digest", "n", "docs"])
 
         held = 0
         for batch in batches:
-            for lang, grp, text in zip(batch["lang"].to_pylist(), batch["grp"].to_pylist(), batch["text"]):
+            for grp, text in zip(batch["grp"].to_pylist(), batch["text"]):
                 own = [digests(some, bits) for some in terms(text.as_py())]
                 parts += own
-                rows.append((lang, grp, sum(map(len, own))))
-                held += rows[-1][2]
+                rows.append((grp, sum(map(len, own))))
+                held += rows[-1][1]
                 if held >= HELD:
                     yield batch_of()
                     parts.clear()
@@ -85,7 +84,7 @@ def term_sums(docs: DataFrame, bits: int) -> DataFrame:
         if held:
             yield batch_of()
 
-    return docs.select("lang", "grp", "text").mapInArrow(run, SUMS_DDL)
+    return docs.select("grp", "text").mapInArrow(run, SUMS_DDL)
 
 
 def term_texts(docs: DataFrame, bits: int) -> DataFrame:
@@ -142,14 +141,15 @@ def coded(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     raise RuntimeError("groups collide under every seed")
 
 
-def kept_terms(work: Work, docs: DataFrame, min_docs: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def kept_terms(work: Work, docs: DataFrame, groups: DataFrame, min_docs: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(lang, grp, digest, part, n)`` of kept terms, ``(lang, digest, part, n, term)`` of languages' kept terms with their text.
 
     ``part`` is empty, or the term itself where several terms share a digest. Two terms can only add to each other's
     count, so a kept term's digest is among those that reach ``min_docs``: only these get a text. Their smallest and
     largest text differ exactly if a digest stands for several terms; such digests are counted anew by text.
     """
-    counts = work.keep(term_sums(docs, bits).groupBy("lang", "grp", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "sums")
+    sums = term_sums(docs, bits).groupBy("grp", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = work.keep(sums.join(groups.select("lang", "grp"), "grp").select("lang", "grp", "digest", "n", "docs"), "sums")
     often = counts.groupBy("lang", "digest").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")).filter(F.col("docs") >= min_docs)
     often = work.keep(often.select("lang", "digest", "n"), "often")
     small = often.count() <= BROADCAST_TERMS
@@ -254,7 +254,7 @@ def audit(work: Work, docs: DataFrame, min_docs: int = 10, top: int = 10, bits:
     """
     docs, groups = coded(docs)
     groups = work.keep(groups, "groups")
-    by_group, by_lang = kept_terms(work, docs, min_docs, bits)
+    by_group, by_lang = kept_terms(work, docs, groups, min_docs, bits)
     langs = by_lang.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("n").alias("lang_total"))
     totals = by_group.groupBy("grp").agg(F.sum("n").alias("total"))
     sized = groups.select("lang", "grp").join(langs, "lang", "left").join(totals, "grp", "left").na.fill(0, ["terms", "lang_total", "total"])
