@@ -16,6 +16,7 @@ from landfall.operators.columns import strip_prefix
 from landfall.operators.drift import drift, merged, profile
 from landfall.operators.expand import POSITION, accepted, expand_records, transpose, zip_explode
 from landfall.operators.nested import flatten
+from landfall.operators.sample import sample_per
 from landfall.plans.batch import expand, load_batch, scan
 from landfall.plans.loads import KEEP, loads_spec
 from landfall.samples.landing import load_records, write_elements, write_landing
@@ -760,6 +761,22 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.orderBy("o_orderkey").limit(20)
 
 
+@query(
+    """
+    with ranked as (
+        select o_orderpriority, o_orderkey, row_number() over (partition by o_orderpriority order by md5('{"c0":"' || o_orderkey || '"}'))::int as sample_place
+        from orders
+    )
+    select * from ranked where sample_place <= 10
+    """
+)
+def file_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten orders of each priority, from samples of two halves."""
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey")
+    halves = [sample_per(orders.where(half), "o_orderpriority", 10, ["o_orderkey"]) for half in ("o_custkey % 2 = 0", "o_custkey % 2 <> 0")]
+    return sample_per(halves[0].union(halves[1]), "o_orderpriority", 10, ["o_orderkey"])
+
+
 # Whole loads.
 
 
