@@ -16,11 +16,27 @@ class Projections:
 
     def __init__(self, vectors: np.ndarray, count: int, seed: int):
         self.lines = np.random.default_rng(seed).standard_normal((vectors.shape[1], count))
-        values = vectors @ self.lines
+        with np.errstate(over="ignore", invalid="ignore"):
+            values = vectors @ self.lines
         self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         self.sorted = np.sort(values, axis=0).T.copy()
 
 
+def distances(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances. Where squares leave the range of doubles, they are taken of differences scaled by the largest."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        off = rows - query
+        found = np.sqrt((off * off).sum(axis=1))
+        odd = np.flatnonzero(~np.isfinite(found) | (found < 1e-150))
+        if len(odd):
+            half = rows[odd] / 2 - query / 2
+            most = np.abs(half).max(axis=1, initial=0)
+            part = half / np.where(most > 0, most, 1)[:, None]
+            scaled = most * np.sqrt((part * part).sum(axis=1)) * 2
+            found[odd] = np.where(most > 0, np.where(np.isnan(scaled), np.inf, scaled), found[odd])
+    return found
+
+
 def nearest(
     index: Projections, vectors: np.ndarray, query: np.ndarray, allowed: np.ndarray, k: int, start: float, growth: float, share: float
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -29,10 +45,12 @@ def nearest(
     A vector at distance r projects within r of the query on a line with odds 0.68. At radius R each sorted array's
     window reaches R to both sides of the query's own projection; widening R only counts what the windows newly
     cover (virtual rehashing). Vectors that collide on ``share`` of the lines are verified. The search ends when k
-    verified vectors lie within R, or when the windows hold everything and all is verified: no cap on candidates.
+    verified vectors lie within R, or when the windows hold everything (or R passes all doubles) and all is verified: no cap on
+    candidates. A verified vector farther away than a double can tell has an infinite distance.
     """
     lines, n = index.order.shape
-    at = query @ index.lines
+    with np.errstate(over="ignore", invalid="ignore"):
+        at = query @ index.lines
     place = [int(np.searchsorted(row, v)) for row, v in zip(index.sorted, at)]
     left, right = np.array(place), np.array(place)
     hits, distance = np.zeros(n, np.int64), np.full(n, np.inf)
@@ -44,14 +62,13 @@ def nearest(
         new = [index.order[j, low[j] : left[j]] for j in range(lines)] + [index.order[j, right[j] : high[j]] for j in range(lines)]
         hits += np.bincount(np.concatenate(new), minlength=n)
         left, right = np.minimum(left, low), np.maximum(right, high)
-        all_in = bool((left == 0).all() and (right == n).all())
+        all_in = bool((left == 0).all() and (right == n).all()) or not np.isfinite(radius)
         fresh = np.flatnonzero(~seen & ((hits >= need) | all_in))
         if len(fresh):
-            off = vectors[fresh] - query
-            distance[fresh] = np.sqrt((off * off).sum(axis=1))
+            distance[fresh] = distances(vectors[fresh], query)
             seen[fresh] = True
         if all_in or (distance <= radius).sum() >= k:
-            found = np.flatnonzero(distance < np.inf)
+            found = np.flatnonzero(seen & allowed)
             return found, distance[found]
         radius *= growth
 
@@ -90,7 +107,8 @@ def search(
             ids, points = rows["vec_id"].to_numpy(), matrix(rows["embedding"])
             index = Projections(points, lines, seed)
             # A radius that holds a small part of the block on a line: a start from which few widenings are wasted.
-            start = float(np.median(index.sorted[:, -1] - index.sorted[:, 0])) / 16 or 1.0
+            start = float(np.median(index.sorted[:, -1] - index.sorted[:, 0])) / 16
+            start = start if 0 < start < np.inf else 1.0
             for query, point in zip(asked["vec_id"].to_numpy(), matrix(asked["embedding"])):
                 at, distance = nearest(index, points, point, ids != query, k, start, growth, share)
                 best = np.lexsort((ids[at], distance))[:k]

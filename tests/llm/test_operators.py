@@ -178,6 +178,18 @@ def test_ann_odd_rows(spark):
     assert ann.search(none(vectors), none(vectors)).collect() == []
 
 
+def test_ann_loses_no_finite_vector(spark):
+    """Differences whose squares, sums or projections leave the range of doubles."""
+    large, small = 1.5e308, 3e-200
+    points = {0: [1.0, 0.0], 1: [1e200, 0.0], 2: [0.0, -1e200], 3: [large, large], 4: [-large, large], 5: [1.0, small], 6: [1.0, 0.0], 7: [2.0, 0.0]}
+    vectors = spark.createDataFrame(list(points.items()), "vec_id long, embedding array<double>")
+    found = [(r.vec_id, r.score) for r in ann.search(vectors, vectors.filter("vec_id = 0")).orderBy("rank").collect()]
+    assert [i for i, _ in found] == [6, 5, 7, 1, 2, 3, 4]
+    assert [s for _, s in found] == [0.0, pytest.approx(small), 1.0, pytest.approx(1e200), pytest.approx(1e200), math.inf, math.inf]
+    found = [r.vec_id for r in ann.search(vectors, vectors.filter("vec_id = 3")).collect()]
+    assert sorted(found) == [0, 1, 2, 4, 5, 6, 7]
+
+
 # 4: mixing
 
 
