@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,6 +16,7 @@ from landfall.operators.columns import strip_prefix
 from landfall.operators.drift import drift, merged, profile
 from landfall.operators.expand import POSITION, accepted, expand_records, transpose, zip_explode
 from landfall.operators.nested import flatten
+from landfall.operators.profiles import column_profile, estimated, merged_profiles
 from landfall.operators.sample import sample_per
 from landfall.plans.batch import expand, load_batch, scan
 from landfall.plans.loads import KEEP, loads_spec
@@ -30,6 +31,7 @@ from landfall.sources.csv import read_csv
 from landfall.sources.csv_aligned import read_aligned
 from landfall.sources.xml import EXACT, read_xml
 from landfall.streaming.incremental import load_stream
+from landfall.streaming.slots import RESULT, slot_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -777,6 +779,42 @@ def file_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_per(halves[0].union(halves[1]), "o_orderpriority", 10, ["o_orderkey"])
 
 
+@query(
+    """
+    with cells as (
+        select l_returnflag, field, value from (
+            select l_returnflag, l_partkey::double as l_partkey, l_extendedprice::double as l_extendedprice, l_quantity::double as l_quantity from lineitem
+        ) unpivot include nulls (value for field in (l_partkey, l_extendedprice, l_quantity))
+    )
+    select l_returnflag, field, count(*) as n_rows, count(*) - count(value) as n_nulls, min(value) as least, max(value) as greatest,
+           true as distinct_near, true as median_near, true as same_merged
+    from cells group by all
+    """
+)
+def profile_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles by group, of the whole and merged from halves, with their estimates held against exact figures."""
+    fields = ["l_partkey", "l_extendedprice", "l_quantity"]
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", *fields, "l_orderkey")
+    whole = estimated(column_profile(items, ["l_returnflag"], fields), [0.5])
+    halves = [column_profile(items.where(half), ["l_returnflag"], fields) for half in ("l_orderkey % 2 = 0", "l_orderkey % 2 <> 0")]
+    merged = estimated(merged_profiles(halves[0].union(halves[1]), ["l_returnflag"]), [0.5])
+    exact = items.select("l_returnflag", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in fields])).alias("cell"))
+    exact = exact.select("l_returnflag", "cell.*").groupBy("l_returnflag", "field")
+    value = F.col("value")
+    exact = exact.agg(F.countDistinct("value").alias("n"), F.percentile(value, F.array(F.lit(0.45), F.lit(0.55))).alias("middle"))
+    key = ["l_returnflag", "field"]
+    again = merged.select(*key, *[F.col(c).alias(f"m_{c}") for c in ("n_rows", "n_nulls", "least", "greatest", "n_distinct", "quantiles")])
+    exactly = [F.col(c).eqNullSafe(F.col(f"m_{c}")) for c in ("n_rows", "n_nulls", "least", "greatest")]
+    near = lambda c: F.abs(F.col(c) - F.col("n")) <= F.greatest(F.lit(1), F.col("n") * 0.08)
+    middle = lambda c: F.get(F.col(c), 0).between(F.get("middle", 0), F.get("middle", 1))
+    joined = whole.join(again, key).join(exact, key)
+    return joined.select(
+        *key, "n_rows", "n_nulls", F.col("least").cast("double").alias("least"), F.col("greatest").cast("double").alias("greatest"),
+        near("n_distinct").alias("distinct_near"), middle("quantiles").alias("median_near"),
+        (near("m_n_distinct") & middle("m_quantiles") & exactly[0] & exactly[1] & exactly[2] & exactly[3]).alias("same_merged"),
+    )
+
+
 # Whole loads.
 
 
@@ -914,3 +952,38 @@ def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         load_stream(spark, spec, checkpoint, RUN_TS).awaitTermination()
     loaded = spark.read.option("recursiveFileLookup", True).parquet(bronze)
     return with_file_tokens(loaded).drop("NumRows", "ProcessedDate", "ProcessedTime")
+
+
+@query(
+    """
+    with arrivals as (
+        select event_type as entity, date_trunc('hour', ts) as slot,
+               ts + case when event_id % 20 = 0 then interval 3 hour else interval 0 hour end as landed_at
+        from events
+    ),
+    clock as (select date_trunc('milliseconds', max(landed_at)) - interval 10 minute as mark from arrivals),
+    in_time as (select distinct entity, slot from arrivals where landed_at <= slot + interval 2 hour),
+    span as (
+        select entity, unnest(generate_series(first, mark, interval 1 hour)) as slot
+        from (select entity, min(slot) as first from in_time group by 1), clock
+    )
+    select entity, slot, 'absent' as status, null::timestamp as landed_at
+    from span, clock where slot + interval 2 hour < mark and not exists (from in_time t where t.entity = span.entity and t.slot = span.slot)
+    union all
+    select entity, slot, 'late', landed_at from arrivals where landed_at > slot + interval 2 hour
+    """
+)
+def missing_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours without an event of a type, and events after their hour's time, by a stream that runs twice."""
+    landing, report, checkpoint = work_folder(spark, "arrivals"), work_folder(spark, "slots"), work_folder(spark, "stream")
+    delayed = F.col("ts") + F.when(F.col("event_id") % 20 == 0, F.expr("interval 3 hours")).otherwise(F.expr("interval 0 hours"))
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("entity"), F.date_trunc("hour", "ts").cast("timestamp").alias("slot"), delayed.cast("timestamp").alias("landed_at")
+    )
+    for drop in ("landed_at < '2024-01-16'", "not landed_at < '2024-01-16'"):
+        events.where(drop).write.mode("append").parquet(landing)
+        arrivals = spark.readStream.schema(events.schema).parquet(landing)
+        sink = slot_report(arrivals, grace=timedelta(hours=1)).writeStream.format("parquet").option("path", report)
+        sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    told = spark.read.schema(RESULT).parquet(report)
+    return told.select("entity", F.col("slot").cast("timestamp_ntz"), "status", F.col("landed_at").cast("timestamp_ntz"))
