@@ -72,11 +72,11 @@ class Work:
         small_batches(spark)
         self.spark, self.root, self.n = spark, work_folder(spark, label), 0
 
-    def keep(self, df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
-        """Write ``df`` and read it back. The path is remembered, so ``drop`` can remove it."""
+    def keep(self, df: DataFrame, label: str, codec: str = "snappy", by: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df``, in a folder for each value of ``by``, and read it back. The path is remembered, so ``drop`` can remove it."""
         self.n += 1
         path = f"{self.root}/{self.n:03d}-{label}"
-        df.write.option("compression", codec).parquet(path)
+        df.write.option("compression", codec).partitionBy(*by).parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept.kept_at = path
         return kept

@@ -399,9 +399,44 @@ def test_lines(spark, work, docs, batches):
         assert (found[i].n_lines, found[i].n_dropped) == (3, int(lost))
         assert found[i].text == (f"own {i}\nshort" if lost else rows[i][1])
     assert found[100].n_dropped == 0 and found[200].text is None and (found[201].text, found[201].n_lines) == ("", 1)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")]
     assert line_dedup.dedup_lines(work, docs).count() == 6 and line_dedup.dedup_lines(work, none(docs)).collect() == []
 
 
+def test_line_batches_follow_the_corpus():
+    assert [line_dedup.batch_count(n, 3) for n in (0, 10**5, 2**20, 2**24, 2**30)] == [7, 7, 8, 11, 17]
+
+
+def test_line_lookups_move_no_run(spark, work):
+    """A batch meets merged runs, leaves out what they have settled, and is shuffled alone."""
+    runs = line_dedup.Runs(work, fanout=2, enough=3)
+    for top in range(50, 0, -10):
+        ids = spark.range(top - 9, top + 1).withColumnRenamed("id", "doc_id")
+        often, own = F.lit("often"), F.col("doc_id").cast("string")
+        rare = F.concat(F.lit("twice"), F.col("doc_id") % 25)
+        lines = ids.select(F.explode(F.array(often, own, rare)).alias("h"), "doc_id").withColumn("h", F.col("h").cast("binary"))
+        runs.add(lines.union(lines))
+    assert [len(level) for level in runs.levels] == [1, 0, 1]
+    last = spark.table(runs.all()[0])
+    assert last.count() == 20 and last.filter("h = cast('often' as binary)").isEmpty()
+    assert [tuple(r) for r in runs.frequent().collect()] == [(b"often", 50)]
+    settled = spark.table(runs.all()[1]).filter("n_docs >= 3").select("h").hint("merge")
+    with line_dedup.sorted_buckets(spark):
+        plan = last.join(settled, "h", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort " not in plan
+    runs.drop()
+
+
+def test_lines_of_null_and_repeated_ids(spark, work):
+    """What rows of one id lose is gathered by text, not by id."""
+    line = [f"Line {n} of them, common to all and longer than forty code points." for n in range(4)]
+    rows = [(i, "\n".join(line)) for i in range(6)] + [(None, f"{line[n % 4]}\nown {n}") for n in range(200)] + [(3, line[1]), (5, line[2])]
+    found = line_dedup.dedup_lines(work, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    assert {r.text for r in found if r.doc_id is None} == {f"own {n}" for n in range(200)}
+    assert {r.text for r in found if r.doc_id == 5} == {"\n".join(line), line[2]} and {r.text for r in found if r.doc_id == 3} == {""}
+
+
 # 9: MinHash
 
 
