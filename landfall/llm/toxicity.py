@@ -185,8 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     """A model from ``docs (doc_id, text)`` and ``labels (doc_id, toxic)``.
 
     The sample: of each class, the labelled ids with the smallest hashes, at most ``toxic_docs`` and ``ordinary_docs``
-    of them, whose texts have at most ``max_chars`` characters. It is bounded by these three, whatever the size
-    of the tables, and is fitted on the driver. The calibration is moved to the classes' shares among all labels.
+    of them, whose texts have at most ``max_chars`` characters; of several rows of an id, the one whose text has the smallest hash.
+    It is bounded by these three, whatever the size of the tables and the rows of an id, and is fitted on the driver. A class with
+    longer texts only is not learned. The calibration is moved to the classes' shares among all labels.
     Null labels, ids and texts are left out. If a class is missing, every text scores the share of toxic labels.
     """
     settings = settings or Settings()
@@ -197,6 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
         ids = known.filter(F.col("toxic") == toxic).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         own = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
         own = own.filter((F.length("text") > 0) & (F.length("text") <= settings.max_chars))
+        own = own.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
         texts[toxic] = [row["text"] for row in sorted(own.collect(), key=lambda row: (row["doc_id"], row["text"]))]
     model = train(texts[True], texts[False], settings)
     bad, good = shares.get(True, 0), shares.get(False, 0)
