@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
@@ -17,6 +17,8 @@ from landfall.llm.common import share
 
 #: Longest context, in bytes.
 ORDER = 4
+#: Bytes coded at a time. They take some 20 MB with ten languages, whatever the length of a word.
+CHUNK = 2**17
 ASCII_LETTER = re.compile("[A-Za-z]")
 UNDETERMINED = "und"
 
@@ -63,20 +65,35 @@ class Model:
     escapes: np.ndarray
 
     def code_lengths(self, of: list[bytes]) -> np.ndarray:
-        """Bits per word and language."""
-        lines = [b" " + word + b" " for word in of]
-        data = np.frombuffer(b"".join(lines), np.uint8).astype(np.int64)
-        sizes = np.array([len(line) for line in lines])
+        """Bits per word and language. Work goes on in chunks of about ``CHUNK`` bytes; a word may span several."""
+        totals = np.zeros((len(of), len(self.languages)))
+        pieces: list[tuple[int, bytes, int]] = []
+        size = 0
+        for i, word in enumerate(of):
+            for piece, known in parts(b" " + word + b" "):
+                pieces.append((i, piece, known))
+                size += len(piece)
+                if size >= CHUNK:
+                    self._add(pieces, totals)
+                    pieces, size = [], 0
+        if pieces:
+            self._add(pieces, totals)
+        return totals
+
+    def _add(self, pieces: list[tuple[int, bytes, int]], totals: np.ndarray) -> None:
+        """Add the bits of pieces ``(word, bytes, bytes that are context only)`` to their words' totals."""
+        data = np.frombuffer(b"".join(piece for _, piece, _ in pieces), np.uint8).astype(np.int64)
+        sizes = np.array([len(piece) for _, piece, _ in pieces])
         ends = np.cumsum(sizes)
         at = np.arange(len(data)) - np.repeat(ends - sizes, sizes)
-        word = np.repeat(np.arange(len(lines)), sizes)
         # Before each byte: the number of its context of 0 to ORDER bytes.
         context = [np.zeros(len(data), np.int64)]
         for order in range(1, ORDER + 1):
             shifted = np.concatenate([np.zeros(order, np.int64), data[:-order]])[: len(data)]
             context.append(context[-1] + (shifted << (8 * (order - 1))))
         bits = np.zeros((len(data), len(self.languages)))
-        left = at > 0
+        coded = at >= np.repeat([known for _, _, known in pieces], sizes)
+        left = coded.copy()
         for order in range(ORDER, -1, -1):
             here = np.flatnonzero(left & (at >= order))
             key = (order << 40) | (context[order][here] << 8) | data[here]
@@ -87,8 +104,15 @@ class Model:
             found, hit = lookup(self.contexts, (order << 40) | context[order][missed])
             bits[missed[hit]] += self.escapes[found[hit]]
         bits[left] += 8.0  # a byte no language has seen: one of 256
-        bits[at == 0] = 0
-        return np.add.reduceat(bits, ends - sizes, axis=0)
+        bits[~coded] = 0
+        np.add.at(totals, [i for i, _, _ in pieces], np.add.reduceat(bits, ends - sizes, axis=0))
+
+
+def parts(line: bytes, size: int = 2**16) -> Iterator[tuple[bytes, int]]:
+    """A bordered word in pieces that code ``size`` bytes at most, each with how many of its first bytes are context only."""
+    for start in range(1, len(line), size):
+        before = min(ORDER, start)
+        yield line[start - before : start + size], before
 
 
 def lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,17 +148,30 @@ def train(samples: dict[str, Counter]) -> Model:
     return Model(languages, keys, costs, np.array([k for k, _ in left], np.int64), np.array([e for _, e in left]).reshape(len(left), len(languages)))
 
 
+def excerpt(text: Column, max_chars: int, windows: int = 10) -> Column:
+    """A text of up to ``max_chars`` characters as it is; of a longer one, windows spread evenly over all of it, as long together."""
+    size, length = max_chars // windows, F.length(text)
+    starts = [F.floor((length - size) * i / (windows - 1)).cast("int") + 1 for i in range(windows)]
+    return F.when(length <= max_chars, text).otherwise(F.concat_ws("\n", *[F.substring(text, start, F.lit(size)) for start in starts]))
+
+
 def fit(docs: DataFrame, docs_per_language: int = 200, max_chars: int = 20_000) -> Model:
     """Context trees from ``docs (doc_id, text, lang)``, on a bounded sample: per language the ``docs_per_language`` ids with the
-    smallest hashes among texts of 1 to ``max_chars`` characters. The driver receives no more than that. Null languages,
-    ids and texts are left out; without any the model knows no language.
+    smallest hashes among texts of 1 to ``max_chars`` characters, and if those are fewer, ids of longer texts, by excerpts of
+    ``max_chars`` characters spread over the text. Of several rows of an id and language one counts, by its text's hash. The
+    driver receives no more than that. Null languages, ids and texts are left out; without any the model knows no language.
     """
-    known = docs.filter("lang is not null and doc_id is not null").filter(F.length("text").between(1, max_chars))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= docs_per_language)
-    ids = F.broadcast(ids.select("doc_id", "lang"))
+    known = docs.filter("lang is not null and doc_id is not null").filter(F.length("text") > 0).select("doc_id", "lang", "text")
+    known = known.withColumn("text_hash", F.xxhash64("text"))
+    first = F.min(F.struct((F.length("text") > max_chars).alias("long"), "text_hash")).alias("first")
+    ids = known.groupBy("doc_id", "lang").agg(first).select("doc_id", "lang", "first.*")
+    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id")
+    ids = ids.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= docs_per_language)
+    key = ["doc_id", "lang", "text_hash"]
+    sample = known.join(F.broadcast(ids.select(*key)), key, "left_semi")
+    sample = sample.select(*key, excerpt(F.col("text"), max_chars).alias("text")).groupBy(*key).agg(F.min("text").alias("text"))
     samples: dict[str, Counter] = defaultdict(Counter)
-    for row in known.join(ids, ["doc_id", "lang"], "left_semi").select("lang", "text").collect():
+    for row in sample.collect():
         samples[row["lang"]].update(words(row["text"]))
     return train(samples)
 

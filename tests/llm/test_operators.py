@@ -5,12 +5,14 @@ import json
 import math
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -147,6 +149,46 @@ def test_toxicity_odd_rows(spark, docs):
     assert toxicity.score(none(docs), model).collect() == []
 
 
+def test_toxicity_scores_by_hand(spark):
+    """Scores are window lengths under the model's two dictionaries, weighed and calibrated; one row of an id teaches, whatever their number."""
+    texts, labels = toxic_corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    model = toxicity.fit(docs, marks)
+    again = toxicity.fit(docs.union(docs).union(docs), marks.union(marks.limit(0)))
+    assert (again.toxic, again.ordinary) == (model.toxic, model.ordinary) and again.weights.tolist() == model.weights.tolist()
+    s = model.settings
+    params = zstandard.ZstdCompressionParameters.from_level(
+        s.level, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0,
+        min_match=s.min_match, hash_log=17, window_log=18,
+    )
+
+    def length(window, dictionary):
+        content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=content, compression_params=params).compress(window))
+
+    sample = [*texts[:3], *texts[-3:], "", None, "one", " ".join(texts[:2])]
+    frame = spark.createDataFrame(list(enumerate(sample)), "doc_id long, text string")
+    for r in toxicity.score(frame, model).collect():
+        words = (sample[r.doc_id] or "").encode().lower().split()
+        starts, at = [], 0
+        while words and (not starts or starts[-1] + s.window < len(words)):
+            starts.append(at)
+            at += s.step
+        found = []
+        for start in starts:
+            window = b" " + b" ".join(words[start : start + s.window]) + b" "
+            less = length(window, model.ordinary) - length(window, model.toxic)
+            found.append(model.evidence[max(toxicity.LOW, min(toxicity.HIGH, less)) - toxicity.LOW])
+        at = model.weights[0]
+        if found:
+            total = sum(found)
+            at += model.weights[1] * 10 * total / len(found) + model.weights[2] * math.copysign(math.log1p(abs(total)), total)
+            at += model.weights[3] * math.log1p(len(found))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, at)))), rel=1e-9)
+        assert r.predicted == (r.score >= 0.3)
+
+
 # 3: nearest neighbours
 
 
@@ -533,6 +575,39 @@ def test_language_odd_rows(docs):
     assert langid.predict(none(docs), langid.fit(docs)).collect() == []
 
 
+def test_language_of_long_words(monkeypatch):
+    """A word of any length is coded piece by piece: same bits, bounded memory."""
+    model = langid.train({f"l{n}": Counter({bytes([97 + n, 98, 99 + n] * 4): 5, b"common": n + 1}) for n in range(8)})
+    rng = random.Random(5)
+    some = [bytes(rng.choices(b"abcdefghijk", k=n)) for n in (1, 2, 3, 4, 5, 6, 60, 1000)]
+    whole = model.code_lengths(some)
+    cut = langid.parts
+    for size in (1, 3, 7):
+        monkeypatch.setattr(langid, "parts", lambda line, size=size: cut(line, size))
+        assert np.allclose(model.code_lengths(some), whole, rtol=1e-12)
+    monkeypatch.setattr(langid, "parts", cut)
+    monkeypatch.setattr(langid, "CHUNK", 50)
+    assert np.allclose(model.code_lengths(some), whole, rtol=1e-12)
+    monkeypatch.undo()
+    tracemalloc.start()
+    model.code_lengths([b"abcde" * 1_000_000])
+    assert tracemalloc.get_traced_memory()[1] < 120e6
+    tracemalloc.stop()
+
+
+def test_language_sample(spark):
+    """Long texts alone still teach a language; rows of one id count once."""
+    rows = [(i, "the cat sat on the mat " * 3, "en") for i in range(5)] + [(9, "der hund lief schnell ins haus " * 2000, "de")]
+    rows += [(3, "zzz qqq xxx", "en")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == ["de", "en"]
+    ask = spark.createDataFrame([(1, "hund und haus"), (2, "cat on mat")], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.predict(ask, model).orderBy("doc_id").collect()] == ["de", "en"]
+    size = docs.filter("lang = 'de'").select(F.length(langid.excerpt(F.col("text"), 20_000))).first()[0]
+    assert 19_000 < size <= 20_010
+
+
 # the pipeline
 
 
