@@ -19,6 +19,8 @@ from landfall.llm.common import share
 ORDER = 4
 #: Bytes coded at a time. They take some 20 MB with ten languages, whatever the length of a word.
 CHUNK = 2**17
+#: Parts of a language that are ranked apart before its sample is picked.
+SHARES = 32
 ASCII_LETTER = re.compile("[A-Za-z]")
 UNDETERMINED = "und"
 
@@ -165,8 +167,11 @@ def fit(docs: DataFrame, docs_per_language: int = 200, max_chars: int = 20_000)
     known = known.withColumn("text_hash", F.xxhash64("text"))
     first = F.min(F.struct((F.length("text") > max_chars).alias("long"), "text_hash")).alias("first")
     ids = known.groupBy("doc_id", "lang").agg(first).select("doc_id", "lang", "first.*")
-    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= docs_per_language)
+    # A language may hold most rows: its first ids are those among the first ones of shares of it.
+    ids = ids.withColumn("share", F.pmod(F.hash("doc_id"), F.lit(SHARES)))
+    for part in (["lang", "share"], ["lang"]):
+        order = Window.partitionBy(*part).orderBy("long", F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= docs_per_language)
     key = ["doc_id", "lang", "text_hash"]
     sample = known.join(F.broadcast(ids.select(*key)), key, "left_semi")
     sample = sample.select(*key, excerpt(F.col("text"), max_chars).alias("text")).groupBy(*key).agg(F.min("text").alias("text"))
