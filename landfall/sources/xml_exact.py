@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.session import importable
@@ -49,7 +50,10 @@ class Lexer:
         self.rest = re.compile(rb"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
 
     def events(self, data: bytes, state: int) -> Iterator[tuple[int, int, int]]:
-        """``(step, start, end)`` of each tag: 1 for a start, -1 for an end, 0 for an empty element; last ``(2, state, 0)``."""
+        """``(step, start, end)`` of each tag: 1 for a start, -1 for an end, 0 for an empty element; last ``(2, state, 0)``.
+
+        ``data`` is one fragment or several in a row, which gives the same as one by one.
+        """
         at = 0
         while True:
             if state == SUBSET:
@@ -68,6 +72,9 @@ class Lexer:
             token = self.token.search(data, at)
             if token is None:
                 break
+            if self.end in token[0][:-1] and token[0].startswith(b"<!"):
+                at = token.start() + 1  # a document type beyond its fragment is none
+                continue
             at = token.end()
             if token[0] in OPENING:
                 state = OPENING[token[0]]
@@ -76,8 +83,11 @@ class Lexer:
             elif token[0].startswith(b"<!"):
                 state = SUBSET if token[0].endswith(b"[") else TEXT
             else:
-                rest = self.rest.match(data, at)
-                at = rest.end() if rest else len(data)
+                # A tag that is not closed within its fragment is broken, and takes the fragment with it.
+                stop = data.find(self.end, at) + len(self.end)
+                stop = stop if stop >= len(self.end) else len(data)
+                rest = self.rest.match(data, at, stop)
+                at = rest.end() if rest else stop
                 yield int(not (rest and data[at - 2 : at] == b"/>")), token.start(), at
         yield 2, state, 0
 
@@ -112,6 +122,15 @@ class Map:
         return found
 
 
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    """The batch's fragments by split, in order: the first one's row, and the bytes of all."""
+    path, block = pc.dictionary_encode(batch["path"]).indices.to_numpy(), batch["block"].to_numpy()
+    cuts = np.flatnonzero((path[1:] != path[:-1]) | (block[1:] != block[:-1])) + 1
+    for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if end > start:
+            yield int(start), [v or b"" for v in batch["value"].slice(start, end - start).to_pylist()]
+
+
 def split_maps(text: DataFrame, lexer: Lexer) -> DataFrame:
     """One row per split: bytes, declared encoding, and the map of each start state."""
     names = [f"{part}_{state}" for state in range(4) for part in ("state", "add", "floor", "low")]
@@ -125,23 +144,28 @@ def split_maps(text: DataFrame, lexer: Lexer) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=["path", "block", "file_size", "bytes", "encoding", *names])
 
         for batch in batches:
-            for path, block, length, value in zip(batch["path"].to_pylist(), batch["block"].to_pylist(), batch["file_size"].to_pylist(), batch["value"]):
-                data = value.as_buffer()
-                data = bytes(data) if data is not None else b""
+            for at, values in runs(batch):
+                path, block, length = (batch[c][at].as_py() for c in ("path", "block", "file_size"))
                 if key is None or key[:2] != (path, block):
                     if key is not None:
                         yield row()
                     key, maps, size, encoding = (path, block, length), [Map(s) for s in range(4)], 0, None
                     if block == 0:
-                        declared = ENCODING.search(data[:400])
+                        first = values[0][:400]
+                        declared = ENCODING.search(first)
                         encoding = declared[1].decode() if declared else "utf-8"
-                        if data[:2] in (b"\xff\xfe", b"\xfe\xff") or b"\0" in data[:400]:
+                        if first[:2] in (b"\xff\xfe", b"\xfe\xff") or b"\0" in first:
                             encoding = "utf-16"
-                data += lexer.end
-                size += len(data)
-                single = {state: Map.of(lexer, data, state) for state in {m.state for m in maps}}
-                for m in maps:
-                    m.then(single[m.state])
+                done = 0
+                while done < len(values):
+                    # From different states one fragment is read at a time: after a few, all lead to the same one.
+                    states = {m.state for m in maps}
+                    take = 1 if len(states) > 1 else len(values)
+                    data = lexer.end.join(values[done : done + take]) + lexer.end
+                    done, size = done + take, size + len(data)
+                    single = {state: Map.of(lexer, data, state) for state in states}
+                    for m in maps:
+                        m.then(single[m.state])
         if key is not None:
             yield row()
 
@@ -234,9 +258,10 @@ def cut_elements(text: DataFrame, lexer: Lexer) -> DataFrame:
 
         for batch in batches:
             out: list[tuple] = []
-            columns = [batch[c].to_pylist() for c in ("path", "mtime", "block", "state", "depth", "owner", "cut_off", "over", "encoding")]
-            for path, mtime, block, start, at_depth, of, cut_off, over, encoding, value in zip(*columns, batch["value"]):
-                row = {"path": path, "mtime": mtime, "block": block, "cut_off": cut_off, "over": over, "encoding": encoding}
+            for at, values in runs(batch):
+                first = {c: batch[c][at].as_py() for c in ("path", "mtime", "block", "state", "depth", "owner", "cut_off", "over", "encoding")}
+                path, block, start, at_depth, of = (first[c] for c in ("path", "block", "state", "depth", "owner"))
+                row = {c: first[c] for c in ("path", "mtime", "block", "cut_off", "over", "encoding")}
                 if late is not None:
                     last, data = late
                     same = key == (path, block)
@@ -247,7 +272,7 @@ def cut_elements(text: DataFrame, lexer: Lexer) -> DataFrame:
                     if start is None:
                         raise SplitsChanged(f"{path} is read in other splits than before")
                     key, state, depth, owner = (path, block), start, at_depth, of
-                late = row, value.as_py() or b""
+                late = row, lexer.end.join(values)
             yield batch_of(out)
         if late is not None:
             out, (last, data) = [], late

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions.names import file_name
 from landfall.plans.loads import PAYLOAD, ROW_TAG
+from landfall.samples import queries as sample_queries
 from landfall.sources import xml_exact
 from landfall.sources.csv import read_csv
 from landfall.sources.listing import list_files
@@ -256,3 +257,32 @@ def test_csv_parts_with_headers(spark, folder):
     put(folder, "part-00000.csv", "port,depth\nÅlesund,12\n")
     put(folder, "part-00001.csv", "port,depth\nGdynia,14\nKočevje,0\n")
     assert rows(read_csv(spark, folder, "port string, depth int")) == [("Gdynia", 14), ("Kočevje", 0), ("Ålesund", 12)]
+
+
+def test_fragments_in_a_row_read_as_one_by_one():
+    lexer = xml_exact.Lexer("R")
+    odd = ["<R a='</R><R>", '<R a="x', "<!-- </R>", "-->", "<![CDATA[</R>", "]]>", "<?x </R> ?>", '<!DOCTYPE e SYSTEM "</R>">', "</R>", "<R/>", "<R>", "'", '"']
+    rnd = random.Random(4)
+    for _ in range(300):
+        data = ("".join(rnd.choices(odd, k=12)) + "</R>").encode()
+        parts = [p + b"</R>" for p in data.split(b"</R>")[:-1]]
+        whole = xml_exact.Map.of(lexer, data, xml_exact.TEXT)
+        single = xml_exact.Map(xml_exact.TEXT)
+        for part in parts:
+            single.then(xml_exact.Map.of(lexer, part, single.state))
+        assert vars(whole) == vars(single)
+
+
+def test_exact_scan_query_lands_by_all_tasks(spark, folder, monkeypatch):
+    rows = spark.range(40).selectExpr("id as l_orderkey", "cast(id % 7 as int) as l_linenumber", "'A' as l_returnflag", "id as l_partkey")
+    rows.repartition(4).write.parquet(f"{folder}/lineitem.parquet")
+    tasks = []
+    put_elements = sample_queries.write_elements
+    monkeypatch.setattr(sample_queries, "write_elements", lambda e, *a: tasks.append(e.rdd.getNumPartitions()) or put_elements(e, *a))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "134217728")
+    try:
+        assert sample_queries.xml_exact_split_scan(spark, folder).count() == 40
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert tasks == [4]
