@@ -25,12 +25,13 @@ FOOT = "</env:Body></env:Envelope>\n"
 
 
 def write_landing(
-    records: DataFrame, folder: str, prefix: str = "erp", per_payload: int = 50, per_file: int = 2500
+    records: DataFrame, folder: str, prefix: str = "erp", per_payload: int = 50, per_file: int = 25_000
 ) -> int:
     """Write ``record`` (JSON text) into files ``<prefix>_<share>_<date_token>_<hour_token>.xml``.
 
     Without an ``hour_token`` the name ends after the date. Returns the number of files.
-    A retried task writes the same names with the same content.
+    A retried task writes the same names with the same content. A task gathers the records of a pair of tokens over its
+    batches, so files are few and full; it holds ``10 * per_file`` records at most, and then writes out the longest list.
     """
     s3 = session_store_options(records.sparkSession)
     tokens = [c for c in ("date_token", "hour_token") if c in records.columns]
@@ -47,17 +48,29 @@ def write_landing(
         parts = urlsplit(folder)
         store, root = open_store(parts.scheme, parts.netloc, s3), path_in_store(folder)
         store.create_dir(root, recursive=True)
-        share, files = TaskContext.get().partitionId(), 0
+        share, files, held = TaskContext.get().partitionId(), 0, {}
+
+        def put(key: tuple[str, ...], texts: list[str]) -> None:
+            nonlocal files
+            payloads = [texts[i : i + per_payload] for i in range(0, len(texts), per_payload)]
+            name = "_".join([prefix, f"{share:05d}-{files:05d}", *key])
+            with store.open_output_stream(f"{root}/{name}.xml") as out:
+                out.write(document(payloads).encode())
+            files += 1
+
         for batch in batches:
             for key, group in batch.groupby(tokens):
-                texts = group["record"].tolist()
-                for start in range(0, len(texts), per_file):
-                    chunk = texts[start : start + per_file]
-                    payloads = [chunk[i : i + per_payload] for i in range(0, len(chunk), per_payload)]
-                    name = "_".join([prefix, f"{share:05d}-{files:05d}", *key])
-                    with store.open_output_stream(f"{root}/{name}.xml") as out:
-                        out.write(document(payloads).encode())
-                    files += 1
+                texts = held.setdefault(key, [])
+                texts += group["record"].tolist()
+                while len(texts) >= per_file:
+                    put(key, texts[:per_file])
+                    del texts[:per_file]
+            while sum(map(len, held.values())) > 10 * per_file:
+                longest = max(held, key=lambda k: len(held[k]))
+                put(longest, held.pop(longest))
+        for key, texts in held.items():
+            if texts:
+                put(key, texts)
         yield pd.DataFrame({"files": [files]})
 
     return records.mapInPandas(write, "files long").agg(F.sum("files")).first()[0]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import landfall.plans.batch as batch
 from landfall.plans.batch import LoadMismatch, TargetConflict, load_batch, read_bronze
 from landfall.plans.loads import FIELDS, KEEP, loads_spec
+from landfall.samples.landing import write_landing
 from landfall.sinks.cleanup import delete_loaded, same_time
 from landfall.sinks.layer import write_layer
 
@@ -340,3 +341,16 @@ def test_renamed_and_resent_files_load_no_row(spark, spec):
     changed = load_batch(spark, spec, RUN_TS, clean=True)
     assert (changed.rows, changed.rejects, changed.deleted) == (5, 1, 2)
     assert spark.read.parquet(f"{spec.target}/*").count() == 10
+
+
+def test_landed_files_are_filled_over_batches(spark, folder):
+    records = spark.range(0, 1200, 1, 1).selectExpr("to_json(struct(id)) as record", "cast(2000 + id % 3 as string) as date_token", "'10' as hour_token")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        assert write_landing(records, folder, per_file=300) == 6  # two files for each of three years, not one per batch and year
+        assert write_landing(records, f"{folder}/small", per_file=30) == 42
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    landed = spark.read.format("binaryFile").load(folder).selectExpr("cast(content as string) as text").collect()
+    assert sum(r.text.count('"id"') for r in landed) == 1200
