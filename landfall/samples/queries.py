@@ -16,7 +16,7 @@ from landfall.operators.columns import strip_prefix
 from landfall.operators.drift import drift, merged, profile
 from landfall.operators.expand import POSITION, accepted, expand_records, transpose, zip_explode
 from landfall.operators.nested import flatten
-from landfall.operators.profiles import column_profile, estimated, merged_profiles
+from landfall.operators.profiles import column_profile, estimated, exact_figures, merged_profiles
 from landfall.operators.sample import sample_per
 from landfall.plans.batch import expand, load_batch, scan
 from landfall.plans.loads import KEEP, loads_spec
@@ -801,9 +801,8 @@ def profile_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     halves = [column_profile(items.where(half), ["l_returnflag"], fields) for half in ("l_orderkey % 2 = 0", "l_orderkey % 2 <> 0")]
     merged = estimated(merged_profiles(halves[0].union(halves[1]), ["l_returnflag"]), [0.5])
     exact = items.select("l_returnflag", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in fields])).alias("cell"))
-    exact = exact.select("l_returnflag", "cell.*").groupBy("l_returnflag", "field")
-    value = F.col("value")
-    exact = exact.agg(F.countDistinct("value").alias("n"), F.percentile(value, F.array(F.lit(0.45), F.lit(0.55))).alias("middle"))
+    exact = exact_figures(exact.select("l_returnflag", "cell.*"), ["l_returnflag", "field"], "value", [0.45, 0.55], work_folder(spark, "exact-figures"))
+    exact = exact.select("l_returnflag", "field", F.col("n_distinct").alias("n"), F.col("quantiles").alias("middle"))
     key = ["l_returnflag", "field"]
     again = merged.select(*key, *[F.col(c).alias(f"m_{c}") for c in ("n_rows", "n_nulls", "least", "greatest", "n_distinct", "quantiles")])
     exactly = [F.col(c).eqNullSafe(F.col(f"m_{c}")) for c in ("n_rows", "n_nulls", "least", "greatest")]

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from landed import rows
 from pyspark.sql import functions as F
 
-from landfall.operators.profiles import column_profile, estimated, merged_profiles
+from landfall.operators.profiles import column_profile, estimated, exact_figures, merged_profiles
 
 
 def frame(spark, n=40_000):
@@ -64,3 +66,13 @@ def test_odd_input(spark):
     assert merged_profiles(column_profile(empty, ["g"]), ["g"]).count() == 0
     with pytest.raises(ValueError):
         column_profile(spark.sql("select map(1, 2) as m"), [])
+
+
+def test_exact_figures_are_those_of_percentile(spark, folder):
+    rnd = random.Random(1)
+    values = lambda: rnd.choice([None, float("nan"), rnd.random(), float(rnd.randrange(5))])
+    rows = [(g, values()) for g in ("a", "b", None) for _ in range(rnd.randrange(50, 300))] + [("nulls", None)] * 3 + [("one", 7.0)]
+    df, at = spark.createDataFrame(rows, "g string, v double").repartition(5), [0.0, 0.45, 0.55, 1.0]
+    found = {r.g: (r.n_distinct, str(r.quantiles)) for r in exact_figures(df, ["g"], "v", at, folder).collect()}
+    wanted = df.groupBy("g").agg(F.countDistinct("v").alias("n"), F.percentile("v", F.array(*map(F.lit, at))).alias("q")).collect()
+    assert found == {r.g: (r.n, str(r.q)) for r in wanted}
