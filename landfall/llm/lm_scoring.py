@@ -141,8 +141,8 @@ def widened(data: bytes) -> np.ndarray:
 
 CHUNKS = "chunk long, words binary, numbers binary, docs binary"
 RUNS = "chunk long, n int, segment long, keys binary, counts binary"
-#: Chunk numbers that stand for no rows: what a segment holds, and the tuning texts.
-TOTALS, TUNING = -2, -1
+#: A chunk number that stands for no rows: what a segment holds.
+TOTALS = -2
 
 
 class Numbers(dict):
@@ -154,13 +154,13 @@ class Numbers(dict):
 
 
 def chunked(docs: DataFrame, keep: list[str], chunk_tokens: int) -> DataFrame:
-    """Chunks of ``chunk_tokens`` tokens of ``docs (text, _training, _tuning, ...)``: hashes of their words, the word numbers of all
-    tokens, and the rows' ``keep`` columns with ``n_tokens`` and both marks as an Arrow stream."""
+    """Chunks of ``chunk_tokens`` tokens of ``docs (text, _training, ...)``: hashes of their words, the word numbers of all
+    tokens, and the rows' ``keep`` columns with ``n_tokens`` and the mark as an Arrow stream."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, chunks = TaskContext.get().partitionId() << 32, 0
         known, numbers, held, size = Numbers(), [], [], 0
-        columns = [*keep, *(c for c in ("_training", "_tuning") if c not in keep)]
+        columns = [*keep, "_training"]
 
         def flush() -> pa.RecordBatch:
             words = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in known), np.uint64, len(known))
@@ -189,7 +189,7 @@ def chunked(docs: DataFrame, keep: list[str], chunk_tokens: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select(*keep, *[c for c in ("text", "_training", "_tuning") if c not in keep]).mapInArrow(run, CHUNKS)
+    return docs.select(*keep, *[c for c in ("text", "_training") if c not in keep]).mapInArrow(run, CHUNKS)
 
 
 def runs(values: np.ndarray, counts: np.ndarray, form: Filter) -> list[tuple[int, int, bytes, bytes]]:
@@ -203,13 +203,13 @@ def runs(values: np.ndarray, counts: np.ndarray, form: Filter) -> list[tuple[int
     return found
 
 
-def chunk_runs(words: np.ndarray, numbers: np.ndarray, learned: np.ndarray, paired: np.ndarray, single: Filter, pair: Filter) -> list[tuple]:
-    """Runs of a chunk's distinct words and pairs, each with how often it stands where ``learned`` (``paired``) is true."""
+def chunk_runs(words: np.ndarray, numbers: np.ndarray, learned: np.ndarray, single: Filter, pair: Filter) -> list[tuple]:
+    """Runs of a chunk's distinct words and pairs, each with how often it stands where ``learned`` is true."""
     by_key = np.argsort(single_keys(words), kind="stable")
     counts = np.bincount(numbers[learned], minlength=len(words))
     of = words[numbers]
     pairs, at = np.unique(pair_keys(np.append(of[-1:], of[:-1]), of), return_inverse=True)
-    return runs(words[by_key], counts[by_key], single) + runs(pairs, np.bincount(at[paired], minlength=len(pairs)), pair)
+    return runs(words[by_key], counts[by_key], single) + runs(pairs, np.bincount(at[learned], minlength=len(pairs)), pair)
 
 
 def asked(chunks: DataFrame, single: Filter, pair: Filter) -> DataFrame:
@@ -220,10 +220,9 @@ def asked(chunks: DataFrame, single: Filter, pair: Filter) -> DataFrame:
             for row in range(batch.num_rows):
                 chunk, words, numbers, docs = (batch[c][row] for c in ("chunk", "words", "numbers", "docs"))
                 docs = pa.ipc.open_stream(docs.as_buffer()).read_all()
-                training, tuning, sizes = (docs[c].to_numpy() for c in ("_training", "_tuning", "n_tokens"))
-                flags = [np.repeat(f.astype(bool), sizes) for f in (training, training & ~tuning)]
+                learned = np.repeat(docs["_training"].to_numpy().astype(bool), docs["n_tokens"].to_numpy())
                 words, numbers = np.frombuffer(words.as_buffer(), np.uint64), widened(numbers.as_py()).astype(np.int64)
-                rows = chunk_runs(words, numbers, *flags, single, pair)
+                rows = chunk_runs(words, numbers, learned, single, pair)
                 arrays = [pa.array(np.full(len(rows), chunk.as_py()))]
                 arrays += [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), pa.int64(), pa.binary(), pa.binary()])]
                 yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "n", "segment", "keys", "counts"])
@@ -232,9 +231,7 @@ def asked(chunks: DataFrame, single: Filter, pair: Filter) -> DataFrame:
 
 
 def answered(chunks: DataFrame, single: Filter, pair: Filter, n_tokens: int) -> DataFrame:
-    """Each run with the levels (as ``keys``) the filter gives and, for words, the exact counts (as ``counts``).
-
-    The tuning texts' pairs are looked up first and enter the filter afterwards, as the shares are to be fitted on pairs not counted on.
+    """Each run with the levels (as ``keys``) the filter gives and the exact counts (as ``counts``).
 
     A group holds all runs of one segment: they are merged, the segment is built from them, and what they ask is looked up where it
     was built, so no segment leaves its task. A last row of chunk ``TOTALS`` says how many n-grams were counted, how many
@@ -249,23 +246,14 @@ def answered(chunks: DataFrame, single: Filter, pair: Filter, n_tokens: int) ->
         cuts = np.cumsum([len(x) for x in some])[:-1]
         values, at = np.unique(np.concatenate(some), return_inverse=True)
         times = np.concatenate([widened(c) for c in rows["counts"]])
-        tuning = np.repeat(rows["chunk"].to_numpy() == TUNING, [len(x) for x in some])
-        # Words count everywhere, so tuning texts ask after all of them.
-        later = np.bincount(at[tuning], times[tuning], len(values)).astype(np.int64)
         counts = np.bincount(at, times, len(values)).astype(np.int64)
         keys = single_keys(values) if n == 1 else values
         own, most = Filter(n, 1, form.segment_bits), int(levels(np.array([max(1, n_tokens)]), n)[0])
-        known = counts > later
-        own.bits = own.build(keys[known], (counts - later)[known])
-        found = np.empty(len(at), np.uint8)
-        asked = np.unique(at[tuning])
-        first = np.zeros(len(values), np.uint8)
-        first[asked] = own.probe(keys[asked], most)
-        more = later > 0
-        own.bits |= own.build(keys[more], counts[more])
+        known = counts > 0
+        own.bits = own.build(keys[known], counts[known])
         all_levels = own.probe(keys, most).astype(np.uint8)
-        found[tuning], found[~tuning] = first[at[tuning]], all_levels[at[~tuning]]
-        exact = [squeezed(x) for x in np.split(counts[at], cuts)] if n == 1 else [None] * len(rows)
+        found = all_levels[at]
+        exact = [squeezed(x) for x in np.split(counts[at], cuts)]
         answers = pd.DataFrame({"chunk": rows["chunk"].to_numpy(), "keys": [x.tobytes() for x in np.split(found, cuts)], "counts": exact, "types": 0, "absent": 0, "wrong": 0})
         absent = counts == 0
         totals = {"chunk": TOTALS, "keys": None, "counts": None, "types": (~absent).sum(), "absent": absent.sum(), "wrong": (all_levels[absent] > 0).sum()}
@@ -275,14 +263,31 @@ def answered(chunks: DataFrame, single: Filter, pair: Filter, n_tokens: int) ->
     return chunks.groupBy("n", "segment").applyInPandas(run, schema)
 
 
-def looked_up(words: np.ndarray, numbers: np.ndarray, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Per token of a chunk: levels of the word and of the pair it ends, from the levels of all runs in order of segments."""
+def left_out(counts: np.ndarray, row: np.ndarray, of: np.ndarray, order: int) -> np.ndarray:
+    """Per token: the level of its n-gram's count in all rows but the token's own; ``of`` are the n-grams' numbers, as in ``counts``."""
+    _, at, own = np.unique(row * np.int64(len(counts)) + of, return_inverse=True, return_counts=True)
+    left = counts[of] - own[at]
+    return np.where(left > 0, levels(np.maximum(left, 1), order), 0)
+
+
+def lookups(words: np.ndarray, numbers: np.ndarray, sizes: np.ndarray, training: np.ndarray, told: dict[int, tuple[bytes, list[bytes]]]) -> tuple:
+    """Per token of a chunk: levels of its word and of the pair it ends, and the exact count of its word; then the training tokens as
+    ``(cells, times)``: how often (level before, level, pair level) stands there, each level without the token's own row.
+
+    ``told`` has levels and counts of all runs in order of segments.
+    """
     by_key = np.argsort(single_keys(words), kind="stable")
-    level = np.empty(len(words), np.int64)
-    level[by_key] = np.frombuffer(answers[1], np.uint8)
+    level, count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+    level[by_key] = np.frombuffer(told[1][0], np.uint8)
+    count[by_key] = np.concatenate([widened(c) for c in told[1][1]])
     of = words[numbers]
     at = np.unique(pair_keys(np.append(of[-1:], of[:-1]), of), return_inverse=True)[1]
-    return level[numbers], np.frombuffer(answers[2], np.uint8).astype(np.int64)[at]
+    pair_level, pair_count = np.frombuffer(told[2][0], np.uint8), np.concatenate([widened(c) for c in told[2][1]]).astype(np.int64)
+    row, learned = np.repeat(np.arange(len(sizes)), sizes), np.repeat(training, sizes)
+    single, pair = left_out(count, row, numbers, 1), left_out(pair_count, row, at, 2)
+    before = np.append(single[-1:], single[:-1])
+    cells, times = np.unique(((before << 16) | (single << 8) | pair)[learned], return_counts=True)
+    return level[numbers], pair_level[at], count[numbers], cells, times
 
 
 @dataclass
@@ -319,17 +324,27 @@ class Model:
         return np.log10(share * followed + (1 - share) * plain)
 
 
-def fitted_shares(model: Model, single_level: np.ndarray, pair_level: np.ndarray, rounds: int = 30, default: float = 0.1) -> np.ndarray:
-    """Interpolation shares per level of the preceding word, by expectation-maximisation on texts the pairs were not counted on."""
-    shares = np.full(256, default)
-    if len(single_level):
-        level, followed, plain = model.open().parts(single_level, pair_level)
+def fitted_shares(model: Model, cells: np.ndarray, times: np.ndarray, rounds: int = 30, default: float = 0.1) -> np.ndarray:
+    """Interpolation shares per level of the preceding word, by expectation-maximisation over all training tokens.
+
+    ``cells`` are (level before, level, pair level), a byte each, that stand ``times`` often, counted without the token's own row.
+    """
+    shares, of = np.full(256, default), model.open()._of
+    before, single, pair = cells >> 16, cells >> 8 & 255, cells & 255
+    known = before > 0
+    before, single, pair, times = before[known], single[known], pair[known], times[known]
+    if len(before):
+        followed = np.minimum(of[2][pair], np.minimum(of[1][before], of[1][single])) / of[1][before]
+        plain = (of[1][single] + 1) / (model.n_tokens + model.n_types + 1)
+        total = np.bincount(before, times, minlength=256)
         for _ in range(rounds):
-            from_pair = shares[level] * followed
-            won = from_pair / (from_pair + (1 - shares[level]) * plain)
-            total = np.bincount(level, minlength=256)
+            from_pair = shares[before] * followed
+            won = times * from_pair / (from_pair + (1 - shares[before]) * plain)
             # A few pseudo-tokens at the default keep rare levels away from 0 and 1.
-            shares = (np.bincount(level, won, minlength=256) + 20 * default) / (total + 20)
+            shares = (np.bincount(before, won, minlength=256) + 20 * default) / (total + 20)
+        # The full count of a word may have a level that no count without a row has: it takes its neighbours' share.
+        some = np.flatnonzero(total)
+        shares = np.interp(np.arange(256), some, shares[some])
     return np.clip(shares, 1e-4, 0.99)
 
 
@@ -349,8 +364,6 @@ def score(
     chunk_tokens: int = 1_000_000,
     segment_tokens: int = 2_500_000,
     frequent: int | None = None,
-    tuning_docs: int = 400,
-    tuning_chars: int = 20_000,
 ) -> DataFrame:
     """Every row of ``docs`` with ``n_tokens, n_known, train_tokens, base_score, score``, learning from ``training`` rows.
 
@@ -362,11 +375,11 @@ def score(
 
     The filters (pairs; single words) hold every n-gram once per level of its quantised count and have ``bits_per_token`` bits a
     training token each, at any size, so the rate of false hits does not grow; these can only raise counts, at most to the number of
-    training tokens. The interpolation shares are fitted on up to ``tuning_docs`` training texts of at most ``tuning_chars``
-    characters, 5 % of the training rows at most, whose pairs enter the filter only after being looked up for that, so shares fall
-    where pairs are not informative. Texts are scored with the pairs of all training rows.
+    training tokens. The interpolation shares are fitted on all training tokens, each by its pair's and words' counts in the
+    other rows (levels of exact counts), so shares fall where pairs are not informative. A copy of a row under any id is another row. Of
+    these tokens only how often each combination of levels stands there is gathered, which the number of levels bounds.
 
-    ``base_score`` and ``n_known`` are exact: the task that builds a segment of words sends their counts along. ``frequent`` (words
+    ``base_score`` and ``n_known`` are exact: the task that builds a segment sends the counts along. ``frequent`` (words
     whose counts were once broadcast) has no effect any more.
 
     ``keep`` names the columns of ``docs`` to return (all by default). Null text is empty: one end token. Rows with null or
@@ -382,54 +395,56 @@ def score(
     n_tokens = totals["training"] or 0
     single, pair = filters(n_tokens, totals["all"] or 0, bits_per_token, segment_tokens)
 
-    near = F.xxhash64("doc_id", F.lit("tuning"))
-    short = F.col("_training") & F.coalesce(F.length("text").between(1, tuning_chars), F.lit(False)) & F.col("doc_id").isNotNull()
-    ids = marked.filter(short).select("doc_id").distinct()
-    ids = spark.createDataFrame(ids.orderBy(near, "doc_id").limit(min(tuning_docs, totals["rows"] // 20)).collect(), ids.schema)
-    ids = F.broadcast(ids.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_own")))
-    flagged = marked.join(ids, marked.doc_id == F.col("_id"), "left").withColumn("_tuning", short & F.col("_own").isNotNull())
-    rows = work.keep(chunked(flagged, keep, chunk_tokens), "chunks", "zstd")
-
-    texts = [row["text"] for row in flagged.filter("_tuning").select("doc_id", "text").orderBy("doc_id", "text").collect()]
-    hashes = WordHashes()
-    words, numbers = np.unique(np.concatenate([*(tokens(t, hashes) for t in texts), np.empty(0, np.uint64)]), return_inverse=True)
-    everywhere = np.ones(len(numbers), bool)
-    tuning = [(TUNING, *run) for run in chunk_runs(words, numbers, ~everywhere, everywhere, single, pair)]
-    tuning = spark.createDataFrame(tuning, RUNS)
-    answers = work.keep(answered(asked(rows, single, pair).union(tuning), single, pair, n_tokens), "answers")
+    rows = work.keep(chunked(marked, keep, chunk_tokens), "chunks", "zstd")
+    answers = work.keep(answered(asked(rows, single, pair), single, pair, n_tokens), "answers", "zstd")
     n_types = answers.filter((F.col("chunk") == TOTALS) & (F.col("n") == 1)).agg(F.sum("types")).first()[0] or 0
     model = Model(n_tokens, n_types, np.zeros(256))
-    told: dict[int, list[bytes]] = {1: [], 2: []}
-    for row in answers.filter(F.col("chunk") == TUNING).select("n", "segment", "keys").orderBy("n", "segment").collect():
-        told[row["n"]].append(bytes(row["keys"]))
-    model.shares = fitted_shares(model, *looked_up(words, numbers, {n: b"".join(some) for n, some in told.items()}))
-    shared = share(spark, model)
+    asks = share(spark, model)
 
-    def run(table: pa.Table) -> pa.Table:
-        model = shared.value.open()
+    def look(table: pa.Table) -> pa.Table:
+        model = asks.value
         table = table.combine_chunks().sort_by([("n", "ascending"), ("segment", "ascending")])
         orders = table["n"].to_numpy()
         whole = table.slice(0, 1).to_pylist()[0]
-        told = {n: table.filter(pa.array(orders == n)) for n in (1, 2)}
-        levels = {n: b"".join(part["keys"].to_pylist()) for n, part in told.items()}
+        parts = {n: table.filter(pa.array(orders == n)) for n in (1, 2)}
+        told = {n: (b"".join(part["keys"].to_pylist()), part["counts"].to_pylist()) for n, part in parts.items()}
         docs = pa.ipc.open_stream(whole["docs"]).read_all()
-        sizes, docs = docs["n_tokens"].to_numpy(), docs.select([*keep, "n_tokens"])
-        words = np.frombuffer(whole["keys"], np.uint64)
-        numbers = widened(whole["counts"]).astype(np.int64)
-        count = np.empty(len(words), np.int64)
-        count[np.argsort(single_keys(words), kind="stable")] = np.concatenate([widened(c) for c in told[1]["counts"].to_pylist()])
-        count, starts = count[numbers], np.cumsum(sizes) - sizes
-        total = lambda values: np.add.reduceat(values, starts)
+        sizes, training = docs["n_tokens"].to_numpy(), docs["_training"].to_numpy().astype(bool)
+        words, numbers = np.frombuffer(whole["keys"], np.uint64), widened(whole["counts"]).astype(np.int64)
+        single_level, pair_level, count, cells, times = lookups(words, numbers, sizes, training, told)
+        starts = np.cumsum(sizes) - sizes
         base = np.log10(count + 1.0) - np.log10(float(model.n_tokens + model.n_types + 1))
-        found = [total((count > 0).astype(np.int64)), np.full(len(sizes), model.n_tokens), total(base), total(model.log10(*looked_up(words, numbers, levels)))]
-        for name, values in zip(own[1:], found):
+        docs = docs.select([*keep, "n_tokens"])
+        exact = [np.add.reduceat((count > 0).astype(np.int64), starts), np.full(len(sizes), model.n_tokens), np.add.reduceat(base, starts)]
+        for name, values in zip(own[1:], exact):
             docs = docs.append_column(name, pa.array(values))
-        return docs
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, docs.schema) as writer:
+            writer.write_table(docs)
+        row = [sink.getvalue().to_pybytes(), single_level.astype(np.uint8).tobytes(), pair_level.tobytes()]
+        found = pa.table([pa.array([x], pa.binary()) for x in row], names=["docs", "singles", "pairs"])
+        return found.append_column("cells", pa.array([cells], pa.list_(pa.int64()))).append_column("times", pa.array([times], pa.list_(pa.int64())))
 
-    schema = docs.select(*keep).schema
-    for field in spark.createDataFrame([], "n_tokens long, n_known long, train_tokens long, base_score double, score double").schema:
-        schema = schema.add(field)
     plain = ["chunk", "n", "segment", "keys", "counts"]
     parts = rows.select("chunk", F.lit(0).alias("n"), F.lit(0).cast("long").alias("segment"), F.col("words").alias("keys"), F.col("numbers").alias("counts"), "docs")
     parts = parts.union(answers.filter("chunk >= 0").select(*plain, F.lit(None).cast("binary")))
-    return parts.groupBy("chunk").applyInArrow(run, schema)
+    looked = parts.groupBy("chunk").applyInArrow(look, "docs binary, singles binary, pairs binary, cells array<long>, times array<long>")
+    looked = work.keep(looked, "looked", "zstd")
+    cells = looked.select(F.inline(F.arrays_zip("cells", "times"))).groupBy("cells").agg(F.sum("times").alias("times")).toPandas()
+    model.shares = fitted_shares(model, cells["cells"].to_numpy(np.int64), cells["times"].to_numpy(np.int64))
+    shared = share(spark, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value.open()
+        for batch in batches:
+            for data, singles, pairs in zip(batch["docs"], batch["singles"], batch["pairs"]):
+                docs = pa.ipc.open_stream(data.as_buffer()).read_all()
+                sizes = docs["n_tokens"].to_numpy()
+                tokens = model.log10(*(np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64) for x in (singles, pairs)))
+                docs = docs.append_column("score", pa.array(np.add.reduceat(tokens, np.cumsum(sizes) - sizes)))
+                yield from docs.combine_chunks().to_batches()
+
+    schema = docs.select(*keep).schema
+    for field in spark.createDataFrame([], "n_tokens long, n_known long, train_tokens long, base_score double, score double").schema:
+        schema = schema.add(field)
+    return looked.select("docs", "singles", "pairs").mapInArrow(run, schema)

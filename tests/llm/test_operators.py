@@ -647,3 +647,18 @@ def test_pipeline_drops_pairs_from_eighty_percent(spark):
     found = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()}
     assert found == {i for i in range(0, 400, 2)} | {i for i, s in pairs.items() if s < 0.8}
     assert any(0.8 <= s < 0.85 for s in pairs.values()) and any(s < 0.8 for s in pairs.values())
+
+
+def test_lm_shares_come_from_all_training_tokens(spark, work):
+    """A word's followers say much in most texts, too few of which a sample of short texts would hold."""
+    random.seed(6)
+    long = " ".join(random.choice(["new york", "red sea", "old"]) for _ in range(6000))  # beyond what was once the longest text sampled
+    rows = [(i, long) for i in range(4)] + [(i, f"york{i} sea{i}") for i in range(10, 25)] + [(100, "red sea new york " * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in lm_scoring.score(work, docs, F.col("doc_id") < 100, chunk_tokens=5000).collect()}
+    assert found[100].score > found[100].base_score * 0.6
+
+
+def test_lm_leaves_out_the_own_row():
+    counts, row, of = np.array([5, 2, 1]), np.array([0, 0, 0, 1, 1]), np.array([0, 0, 1, 1, 2])
+    assert lm_scoring.left_out(counts, row, of, 2).tolist() == lm_scoring.levels(np.array([3, 3, 1, 1, 1]), 2).tolist()[:4] + [0]
