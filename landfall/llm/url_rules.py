@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,7 +11,6 @@ from pyspark.sql import functions as F
 from landfall.llm.common import Work
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BAD = "=bad"
 
 
 def _rest(url: Column) -> Column:
@@ -64,7 +65,6 @@ def mine(
     min_support: float = 0.0005,
     min_rows: int = 3,
     min_confidence: float = 0.6,
-    max_items: int = 10,
     z: float = 1.64,
     work: Work | None = None,
 ) -> DataFrame:
@@ -73,10 +73,11 @@ def mine(
     Tokens that always stand together are one item: ``tokens`` names the items, ``members`` lists the tokens of each, any of
     which stands for it. A rule needs ``min_confidence``, ``min_rows`` bad rows, and more bad rows than chance gives: the
     lower end of its confidence's interval (``z`` standard errors) lies above the share of bad rows. Rules of one item are
-    counted directly, whatever their share of the rows. Rules of more are mined by FP-growth, among items that ``min_support``
-    of all labelled rows and ``min_rows`` of them have; each row brings its ``max_items`` items of the highest confidence, so it has at most
-    2 ** max_items combinations. These two bounds are the method's: they keep FP-growth's list of items, which it holds
-    on the driver, and its combinations in proportion to the labels, at any size. A rule is pruned when a subset of its items
+    counted directly, whatever their share of the rows. Rules of more are mined among item sets that ``min_support`` of all
+    labelled rows and ``min_rows`` of them have as bad rows: FP-growth finds these among the bad rows, each with all its items, and
+    their other rows are counted over the distinct token sets. The bound on support is the method's: it keeps FP-growth's list of items, which it holds
+    on the driver, in proportion to the labels. No row's items are cut, so urls that share many items which do not always stand
+    together cost as many combinations as are that frequent. A rule is pruned when a subset of its items
     has the same or a higher confidence, since the shorter rule then fires wherever it does. No labelled row: no rule.
     With ``work`` each step's result is a table there, which the next ones read; without, plans are run whole.
     """
@@ -99,21 +100,25 @@ def mine(
     enough = (F.col("hits") >= min_rows) & (F.col("confidence") >= min_confidence) & trusted(F.col("confidence"), F.col("n"), base, z)
     single = items.filter(enough).select(F.array("item").alias("tokens"), "confidence", (F.col("hits") / F.lit(rows)).alias("support"))
 
-    order = F.struct((-F.col("confidence")).alias("c"), (-F.col("item_n")).alias("n"), F.col("item").alias("item"))
-    often = items.filter(F.col("n") >= least).select("item", F.col("n").alias("item_n"), "confidence")
-    best = held.join(often, "item").groupBy("tokens").agg(F.slice(F.array_sort(F.collect_list(order)), 1, max_items).alias("best"))
-    baskets = marked.join(best.select("tokens", F.col("best.item").alias("items")), "tokens")
-    baskets = baskets.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items"))
-    baskets = keep(baskets, "baskets")
-    in_baskets = baskets.count()
+    # An item that all rows have adds nothing to a rule.
+    often = items.filter((F.col("hits") >= least) & (F.col("n") < rows)).select("item", F.col("n").alias("item_n"))
+    listed = held.join(often, "item").groupBy("tokens").agg(F.first("n").alias("n"), F.first("hits").alias("hits"), F.sort_array(F.collect_list("item")).alias("items"))
+    listed = keep(listed, "listed")
+    baskets = listed.filter("hits > 0").select("items", F.explode(F.sequence(F.lit(1), F.col("hits").cast("int"))).alias("copy")).select("items")
+    in_baskets, need = listed.agg(F.sum("hits")).first()[0] or 0, math.ceil(least)
     found = single
-    if in_baskets:
-        model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / in_baskets), minConfidence=min_confidence).fit(baskets)
-        support = F.col("support") * F.lit(in_baskets / rows)
-        several = model.associationRules.filter((F.col("consequent") == F.array(F.lit(BAD))) & (F.size("antecedent") > 1))
-        several = several.withColumn("n", F.round(F.col("support") * F.lit(in_baskets) / F.col("confidence")))
-        several = several.filter(trusted(F.col("confidence"), F.col("n"), base, z))
-        found = single.union(several.select(F.array_sort("antecedent").alias("tokens"), "confidence", support.alias("support")))
+    if in_baskets >= need:
+        # Half a row less, so that no rounding of the share asks for one more.
+        model = FPGrowth(itemsCol="items", minSupport=(need - 0.5) / in_baskets).fit(baskets)
+        several = model.freqItemsets.filter(F.size("items") > 1).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("hits"))
+        several = keep(several, "several")
+        rarest = several.withColumn("item", F.explode("tokens")).join(often, "item").groupBy("tokens", "hits")
+        rarest = rarest.agg(F.min_by("item", F.struct("item_n", "item")).alias("item"))
+        met = listed.select("n", "items", F.explode("items").alias("item")).join(rarest, "item")
+        counted = met.filter(F.size(F.array_except("tokens", "items")) == 0).groupBy("tokens", "hits").agg(F.sum("n").alias("n"))
+        counted = counted.withColumn("confidence", F.col("hits") / F.col("n"))
+        counted = counted.filter((F.col("confidence") >= min_confidence) & trusted(F.col("confidence"), F.col("n"), base, z))
+        found = single.union(counted.select("tokens", "confidence", (F.col("hits") / F.lit(rows)).alias("support")))
     found = keep(found, "found")
     # A shorter rule is a subset of a longer one only if it holds one of its tokens: match on the shorter rule's first.
     short = found.select(F.col("tokens").alias("sub"), F.col("confidence").alias("sub_confidence"), F.col("tokens")[0].alias("token"))

@@ -649,6 +649,18 @@ def test_pipeline_drops_pairs_from_eighty_percent(spark):
     assert any(0.8 <= s < 0.85 for s in pairs.values()) and any(s < 0.8 for s in pairs.values())
 
 
+def test_url_mining_keeps_all_items_of_a_row(spark):
+    """A rule of the least telling items among rows of a dozen."""
+    random.seed(5)
+    rows = []
+    for i in range(600):
+        pair, bad = [(["p:a", "p:b"], True), (["p:a"], False), (["p:b"], False), ([], True)][random.choices(range(4), [10, 25, 25, 40])[0]]
+        rows.append((random.sample([f"q:{n}" for n in range(100)], 10) + pair, bad))
+    mined = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.05, 10, 0.6).collect()
+    both = sum({"p:a", "p:b"} <= set(some) for some, _ in rows)
+    assert [(r.confidence, r.support) for r in mined if r.tokens == ["p:a", "p:b"]] == [(1.0, pytest.approx(both / 600))]
+
+
 def test_lm_shares_come_from_all_training_tokens(spark, work):
     """A word's followers say much in most texts, too few of which a sample of short texts would hold."""
     random.seed(6)
