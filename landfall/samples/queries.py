@@ -473,26 +473,32 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NESTED_RECORD = (
-    "array<struct<id: string, customer: struct<key: string, name: string>, lines: array<struct<part: string, tags: array<string>, "
+    "array<struct<id: bigint, customer: struct<key: bigint, name: string>, lines: array<struct<part: bigint, tags: array<string>, "
     "stops: array<struct<at: string>>>>>>"
 )
 
 
-def nested_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Line items as orders with lines, tags and stops, taken apart: null and empty arrays, two levels, null structs."""
+def nested_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as the JSON text of orders with lines, tags and stops: null and empty arrays, two levels, null structs.
+
+    A line's text is made once for both its places. The payload is exploded from an array of one, so that Spark compiles its
+    projection: merged into that of ``from_json`` it would be interpreted value by value.
+    """
     number = F.col("l_linenumber") % 3
     both = F.array(F.struct(F.date_format("l_shipdate", "yyyy-MM-dd").alias("at")), F.struct(F.lit(None).cast("string").alias("at")))
     stops = F.when(number == 0, both).when(number == 1, F.slice(both, 1, 0))
     tags = F.when(number != 2, F.array("l_returnflag", "l_linestatus"))
-    line = F.struct(F.col("l_partkey").alias("part"), tags.alias("tags"), stops.alias("stops"))
-    order = F.struct(
-        F.col("l_orderkey").alias("id"),
-        F.when(number != 0, F.struct(F.col("l_suppkey").alias("key"), F.lit(None).cast("string").alias("name"))).alias("customer"),
-        F.when(number == 2, F.slice(F.array(line), 1, 0)).otherwise(F.array(line, line)).alias("lines"),
-    )
-    payload = F.to_json(F.array(order), {"ignoreNullFields": "false"})
-    lines = table(spark, sf_dir, "lineitem").select(payload.alias("payload"))
-    parsed = lines.select(F.from_json("payload", NESTED_RECORD).alias("parsed"))
+    line = F.to_json(F.struct(F.col("l_partkey").alias("part"), tags.alias("tags"), stops.alias("stops")), {"ignoreNullFields": "false"})
+    order, supplier = (F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ("l_orderkey", "l_suppkey"))
+    customer = F.when(number != 0, F.concat(F.lit('{"key":'), supplier, F.lit(',"name":null}'))).otherwise("null")
+    lines = F.when(number == 2, "").otherwise(F.concat_ws(",", "line", "line"))
+    payload = F.concat(F.lit('[{"id":'), order, F.lit(',"customer":'), customer, F.lit(',"lines":['), lines, F.lit("]}]"))
+    return table(spark, sf_dir, "lineitem").withColumn("line", line).select(F.explode(F.array(payload)).alias("payload"))
+
+
+def nested_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The nested payloads taken apart."""
+    parsed = nested_payloads(spark, sf_dir).select(F.from_json("payload", NESTED_RECORD).alias("parsed"))
     return flatten(parsed, "parsed", work_folder(spark, "nested"))
 
 
@@ -506,7 +512,8 @@ def nested_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 )
 def nested_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = nested_tables(spark, sf_dir)["root"]
-    return root.select("id", F.col("customer_present").alias("has_customer"), "customer_key", "lines_count")
+    id, customer = F.col("id").cast("string"), F.col("customer_key").cast("string")
+    return root.select(id.alias("id"), F.col("customer_present").alias("has_customer"), customer.alias("customer_key"), "lines_count")
 
 
 @query(
@@ -525,7 +532,8 @@ def nested_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = nested_tables(spark, sf_dir)
     root = tables["root"].select(F.col("row_key").alias("parent_key"), "id")
     lines = tables["root_lines"].join(root, "parent_key")
-    lines = lines.select(F.col("row_key").alias("parent_key"), "id", F.col("position").alias("line_position"), "part")
+    id, part = (F.col(c).cast("string").alias(c) for c in ("id", "part"))
+    lines = lines.select(F.col("row_key").alias("parent_key"), id, F.col("position").alias("line_position"), part)
     tags, stops = tables["root_lines_tags"], tables["root_lines_stops"].withColumnRenamed("at", "value")
     below = [t.select("parent_key", F.lit(kind).alias("kind"), "position", "value") for t, kind in ((tags, "tag"), (stops, "stop"))]
     return lines.join(below[0].union(below[1]), "parent_key").drop("parent_key")
